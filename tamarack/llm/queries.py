@@ -5,10 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.llm import bpe, packing
+from pyspark.sql import functions as F
+
+from tamarack.llm import bpe, fingerprint, langid, packing, quality, sharding, toxicity
 from tamarack.sources.tables import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; ids and texts are reported as digests."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -21,5 +37,34 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op5_bpe_codec, op6_best_fit_packing)}
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likenesses."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    marked = fingerprint.sketch(docs.withColumn("text", F.coalesce("text", F.lit(""))), "text", "fp")
+    rows = fingerprint.with_next(marked, "doc_id", ["text", "fp"], parts)
+    n = F.length("text")
+    half = (n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
+    both = fingerprint.sketch(rows.withColumn("edited", edited), "edited", "efp")
+    return both.select(
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        F.array_join("fp", ".").alias("fingerprint"), F.array_join("efp", ".").alias("edited_fingerprint"),
+        fingerprint.likeness("fp", "efp").alias("near_edited"), fingerprint.likeness("fp", "next_fp").alias("near_next"),
+    )
+
+
+def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of near equal bytes."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    rows = sharding.shard(docs, shards=24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the suffix-array verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_language_id, op5_bpe_codec, op6_best_fit_packing, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
