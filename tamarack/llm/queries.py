@@ -7,10 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, fingerprint, langid, packing, quality, sharding, toxicity
+from tamarack.llm import bpe, fingerprint, langid, packing, quality, sharding, substring, toxicity
 from tamarack.sources.tables import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words under windows of 35 words that occur twice or more in the corpus."""
+    return substring.repeated_words(table(spark, sf_dir, "documents", "doc_id", "text"), window=35)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -66,5 +71,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_language_id, op5_bpe_codec, op6_best_fit_packing, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op3_language_id, op5_bpe_codec, op6_best_fit_packing, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
+#: DuckDB on small tables; words are split at the contract's six blanks.
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+g AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+b AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
+c AS (SELECT DISTINCT r, i + k AS p FROM (SELECT r, i, unnest(range(0, 35)) AS k FROM g SEMI JOIN b USING (h))),
+s AS (SELECT r, list(p) AS ps FROM c GROUP BY r),
+k AS (SELECT doc_id, len(w) AS n, len(coalesce(ps, [])) AS m, w, coalesce(ps, []) AS ps FROM d LEFT JOIN s USING (r)),
+x AS (SELECT doc_id, n, m, CASE WHEN m = 0 THEN w ELSE list_filter(w, lambda v, i: NOT list_contains(ps, i)) END AS kept FROM k)
+SELECT doc_id, n::BIGINT AS n_words, m::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM x""",
+}

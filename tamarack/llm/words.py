@@ -62,13 +62,14 @@ class Words:
     def kept(self, doc: int, keep: np.ndarray | None = None) -> bytes:
         """The document's words (those of ``keep``) joined by one space."""
         a, b = self.first[doc], self.first[doc + 1]
-        at = range(a, b) if keep is None else (a + np.flatnonzero(keep[a:b]))
-        raw, s, e = self.data.tobytes() if self.docs == 1 else self.data, self.start, self.end
-        if isinstance(raw, bytes):
-            return b" ".join(raw[s[i] : e[i]] for i in at)
-        lo = int(s[a]) if b > a else 0
-        text = raw[lo : int(e[b - 1]) if b > a else 0].tobytes()
-        return b" ".join(text[s[i] - lo : e[i] - lo] for i in at)
+        if a == b:
+            return b""
+        lo = int(self.start[a])
+        text = self.data[lo : int(self.end[b - 1])].tobytes()
+        if keep is None:
+            return b" ".join(text.split())
+        at = a + np.flatnonzero(keep[a:b])
+        return b" ".join([text[i:j] for i, j in zip((self.start[at] - lo).tolist(), (self.end[at] - lo).tolist(), strict=True)])
 
 
 def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
