@@ -65,6 +65,16 @@ def unpack(raw: bytes | None) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Compressed bytes of an array."""
+    return _pack.compress(np.ascontiguousarray(values).tobytes())
+
+
+def expand(raw: bytes, kind) -> np.ndarray:
+    """Inverse of :func:`squeeze`."""
+    return np.frombuffer(_unpack.decompress(raw), kind)
+
+
 def fold(keys: np.ndarray, bits: int, width: int) -> np.ndarray:
     """The bucket bits and the ``width`` bits after them: the part of a key that travels."""
     return keys >> np.uint64(64 - min(64, bits + width))

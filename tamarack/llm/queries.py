@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, fingerprint, langid, packing, quality, sharding, substring, toxicity
+from tamarack.llm import bpe, fingerprint, jaccard, langid, packing, quality, sharding, substring, toxicity
 from tamarack.sources.tables import table
 
 
@@ -30,6 +30,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have Jaccard 0.75 or more."""
+    return jaccard.components(table(spark, sf_dir, "documents", "doc_id", "text"), n=5, per=75)
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; ids and texts are reported as digests."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -71,7 +76,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op3_language_id, op5_bpe_codec, op6_best_fit_packing, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op3_language_id, op4_ngram_jaccard, op5_bpe_codec, op6_best_fit_packing, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
 #: DuckDB on small tables; words are split at the contract's six blanks.
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -85,4 +90,15 @@ s AS (SELECT r, list(p) AS ps FROM c GROUP BY r),
 k AS (SELECT doc_id, len(w) AS n, len(coalesce(ps, [])) AS m, w, coalesce(ps, []) AS ps FROM d LEFT JOIN s USING (r)),
 x AS (SELECT doc_id, n, m, CASE WHEN m = 0 THEN w ELSE list_filter(w, lambda v, i: NOT list_contains(ps, i)) END AS kept FROM k)
 SELECT doc_id, n::BIGINT AS n_words, m::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM x""",
+    "op4_ngram_jaccard": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w
+  FROM (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)),
+s AS MATERIALIZED (SELECT DISTINCT r, h FROM (SELECT r, md5(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, CASE WHEN len(w) > 0 THEN 1 ELSE 0 END) + 1)) AS i FROM d))),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+l AS MATERIALIZED (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS o FROM s x JOIN s y ON x.h = y.h AND x.r <> y.r GROUP BY ALL)
+  JOIN n p ON p.r = a JOIN n q ON q.r = b WHERE 100 * o >= 75 * (p.n + q.n - o)),
+c AS (SELECT r, r AS m FROM d UNION SELECT c.r, l.b FROM c JOIN l ON l.a = c.m)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(e.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) JOIN c USING (r) JOIN d e ON e.r = c.m GROUP BY d.r, d.doc_id""",
 }
