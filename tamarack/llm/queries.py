@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, fingerprint, jaccard, langid, packing, quality, sharding, substring, toxicity
+from tamarack.llm import bpe, fingerprint, jaccard, langid, licenses, packing, quality, sharding, substring, toxicity
 from tamarack.sources.tables import table
 
 
@@ -47,6 +47,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document: coverage and span of each."""
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -76,7 +81,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op3_language_id, op4_ngram_jaccard, op5_bpe_codec, op6_best_fit_packing, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op3_language_id, op4_ngram_jaccard, op5_bpe_codec, op6_best_fit_packing, op7_license_scan, op8_order_minhash, op9_kd_sharding, op10_quality_rules)}
 #: DuckDB on small tables; words are split at the contract's six blanks.
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 

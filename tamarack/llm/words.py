@@ -72,12 +72,13 @@ class Words:
         return b" ".join([text[i:j] for i, j in zip((self.start[at] - lo).tolist(), (self.end[at] - lo).tolist(), strict=True)])
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """``data``: UTF-8 bytes of consecutive documents; ``offsets``: where each begins, and the end."""
+def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, breaks: np.ndarray = SPACE) -> Words:
+    """``data``: UTF-8 bytes of consecutive documents; ``offsets``: where each begins, and the end.
+    ``breaks``: which bytes are no part of a word."""
     if lower:
         data = LOWER[data]
     n = len(data)
-    solid = ~SPACE[data]
+    solid = ~breaks[data]
     begins = np.zeros(n + 1, bool)
     begins[offsets] = True
     start = solid.copy()
@@ -108,7 +109,7 @@ def windows(words: Words, n: int, level: int = 0) -> tuple[np.ndarray, np.ndarra
     return mix((sums[at + n] - sums[at]) * down[at]), at
 
 
-def slices(texts: pa.Array, size: int = 1 << 20, lower: bool = False) -> Iterator[tuple[int, Words]]:
+def slices(texts: pa.Array, size: int = 1 << 20, lower: bool = False, breaks: np.ndarray = SPACE) -> Iterator[tuple[int, Words]]:
     """Cut a text column into slices of about ``size`` bytes (one document at least); nulls have no words."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -122,9 +123,9 @@ def slices(texts: pa.Array, size: int = 1 << 20, lower: bool = False) -> Iterato
     offsets = np.frombuffer(where, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     if texts.null_count:  # a null may have bytes behind it
-        return (yield from slices(texts.fill_null(""), size, lower))
+        return (yield from slices(texts.fill_null(""), size, lower, breaks))
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        yield at, hash_words(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], lower)
+        yield at, hash_words(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], lower, breaks)
         at = to
