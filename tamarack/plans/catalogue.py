@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from tamarack.plans import corpus  # noqa: F401  registers its queries
+from tamarack.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
