@@ -13,6 +13,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often ``body`` names it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def py_strip(c: Column | str) -> Column:
     """``str.strip()``: all white space goes from both ends."""
     return F.regexp_replace(F.regexp_replace(_col(c), f"^{WS}+", ""), f"{WS}+$", "")

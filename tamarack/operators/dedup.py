@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.ids import group_id, sha
-from tamarack.functions.text import squash, words
+from tamarack.functions.text import bind, squash, words
 from tamarack.operators.graph import connected_components
 
 
@@ -40,10 +40,11 @@ def name_groups(components: DataFrame, key: str, version: str) -> DataFrame:
 
 def grams(text: Column, n: int) -> Column:
     """Distinct hashes of all runs of ``n`` words; a shorter text is one run, an empty text has none."""
-    w = words(text)
-    each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: sha(F.array_join(F.slice(w, i + 1, n), " ")))
-    return F.when(F.size(w) > 0, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+    def each(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: sha(F.array_join(F.slice(w, i + 1, n), " ")))
+        return F.when(F.size(w) > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
+    return bind(words(text), each)
 
 def gram_rows(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """``key, n_grams, gram``: one row per distinct gram."""

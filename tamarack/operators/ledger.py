@@ -102,7 +102,6 @@ def attempts_from_events(events: DataFrame, policy: RetryPolicy = RetryPolicy())
         F.when(kind == "purchase", "stop").when(kind == "click", "length").alias("finish_reason"), category.alias("error_category"),
         F.when(F.coalesce(F.max(F.when(kind == "click", 1)).over(past), F.lit(0)) == 1, policy.ceiling).otherwise(policy.tokens).alias("max_tokens"),
         F.when(kind == "purchase", F.concat(F.lit("event "), F.col("event_id"))).alias("instruction"),
-        F.unix_micros("ts").cast("double").alias("started_us"),
     )
     seen = Window.partitionBy("row_id").orderBy("attempt_no")
     rows = rows.withColumn("transient_count", F.sum(F.when(F.col("error_category").isin(*TRANSIENT), 1).otherwise(0)).over(seen))

@@ -93,7 +93,7 @@ def balanced_assignment(df: DataFrame, index: str, key: str, chars: str, workers
         return pdf.assign(worker=pdf[key].map(got).astype("int32")).sort_values([index])[[key, index, chars, "worker"]]
 
     rows = df.select(key, F.col(index).cast("bigint").alias(index), F.col(chars).cast("bigint").alias(chars))
-    return rows.groupBy(F.lit(0)).applyInPandas(run, f"{key} {kind}, {index} bigint, {chars} bigint, worker int")
+    return rows.groupBy().applyInPandas(run, f"{key} {kind}, {index} bigint, {chars} bigint, worker int")
 
 
 def repeat_workload(df: DataFrame, key: str, rows: int, have: int) -> DataFrame:
