@@ -12,13 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESULT = T.StructType.fromDDL(
+_KINDS = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType()}
+
+
+def _struct(columns: str) -> T.StructType:
+    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in (c.split(" ") for c in columns.split(", "))])
+
+
+RESULT = _struct(
     "row_id string, source_row_index int, worker string, max_tokens int, ok boolean, instruction string, finish_reason string, prompt_tokens int, completion_tokens int, "
     "error_category string, error_detail string, model_revision string, prompt_sha256 string, config_hash string, image_sha256 string, tikz_sha256 string, text string"
 )
-DOCUMENT = T.StructType(
-    [*T.StructType.fromDDL("run_id string, worker string, worker_index int, generation int, batch_index int").fields, T.StructField("results", T.ArrayType(RESULT)), T.StructField("_corrupt_record", T.StringType())]
-)
+DOCUMENT = _struct("run_id string, worker string, worker_index int, generation int, batch_index int").add("results", T.ArrayType(RESULT)).add("_corrupt_record", T.StringType())
 
 
 def result_documents(spark: SparkSession, path: str) -> DataFrame:
