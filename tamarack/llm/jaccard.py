@@ -8,8 +8,9 @@ frequency in different grain and with different tie-breaks:
 1. Document frequencies of all shingles are counted by a packed exchange (see ``exchange``). A shingle of one class
    cannot be shared; a class whose prefix has only such shingles has no partner and is done.
 2. Shared prefix shingles under the first order are posted. Every posting list names one pivot, and each member is
-   verified against it: linear in the postings, whatever the size of a list. Pairs must also share prefix shingles
-   under the second and third order before their sets are compared.
+   verified against it: linear in the postings, whatever the size of a list. This is repeated with other pivots for
+   lists that span several components. Pairs must also share prefix shingles under the second and third order before
+   their sets are compared.
 3. Links make components. Only lists that still span several components give pairs, and only pairs across
    components whose sizes and positions in the list allow the threshold; these pass the same filters and comparison.
    Links inside a component change nothing, so no link between components is lost and none is needed inside.
@@ -191,27 +192,43 @@ def verified(pairs: DataFrame, sets: DataFrame, per: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "src binary, dst binary")
 
 
-def components(docs: DataFrame, n: int = 5, per: int = 75, plan: X.Layout | None = None) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
+def components(docs: DataFrame, n: int = 5, per: int = 75, plan: X.Layout | None = None, pivots: int = 3) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``. ``pivots`` is how often lists are compared
+    with one of their members before the components that are left are compared with each other."""
     classes = durable(records(docs, n, per, plan))
     sets = classes.where("post is not null").drop("post", "lone")
     sizes = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * per
     # Shingles of one class come first in the order; "at" counts them, though they are not posted.
-    posted = classes.select("key", "n", "lone", F.posexplode("post").alias("at", "token")).withColumn("at", F.col("at") + F.col("lone")).drop("lone")
+    posted = classes.select("key", "n", "lone", F.posexplode("post").alias("k", "token"))
+    posted = posted.select("key", "n", "k", "token", (F.col("k") + F.col("lone")).alias("at"))
     lists = posted.groupBy("token").agg(F.min(F.struct("key", "n")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    posts = durable(posted.join(lists, "token").select("token", "key", "n", "at", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
+    posts = durable(posted.join(lists, "token").select("token", "key", "n", "k", "at", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
     first = posts.where(F.col("key") != F.col("pivot")).where(sizes(F.col("n"), F.col("pivot_n"))).select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
     links = durable(verified(first, sets, per))
-    labels = connected_components(links)
-    label = F.coalesce("component", "key").alias("label")
-    known = posts.join(labels.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "at", label)
-    open_ = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    rest = durable(known.join(open_, "token", "left_semi"))
-    x, y = (rest.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "at", "label")]) for s in "xy")
-    # If the token is the first that two sets share, what follows it in both bounds their overlap.
+
+    def spanning() -> tuple[DataFrame, DataFrame]:
+        """Postings with their component, and the lists that have more than one."""
+        labels = connected_components(links)
+        label = F.coalesce("component", "key").alias("label")
+        known = posts.join(labels.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "k", "at", label)
+        return known, known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+
+    for turn in range(pivots - 1):  # other pivots, drawn per list, and only across components
+        known, open_ = spanning()
+        rest = durable(known.join(open_, "token", "left_semi"))
+        drawn = rest.groupBy("token").agg(F.min_by(F.struct("key", "n", "label"), F.xxhash64("token", "key", F.lit(turn))).alias("p"))
+        met = rest.join(drawn, "token").where(F.col("label") != F.col("p.label")).where(sizes(F.col("n"), F.col("p.n")))
+        pairs = met.select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b")).distinct()
+        links = durable(links.union(verified(pairs, sets, per)))
+    known, open_ = spanning()
+    rest = known.join(open_, "token", "left_semi").join(classes.select("key", "post"), "key")
+    rest = durable(rest.withColumn("before", F.slice("post", 1, F.col("k"))).drop("post", "k"))
+    x, y = (rest.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "at", "label", "before")]) for s in "xy")
+    # Each pair is met once, at the first token that both share; what follows it in both bounds their overlap.
     room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) * (100 + per) >= (F.col("x_n") + F.col("y_n")) * per
-    across = x.join(y, "token").where("x_label < y_label").where(sizes(F.col("x_n"), F.col("y_n"))).where(room)
-    more = verified(across.select(F.col("x_key").alias("a"), F.col("y_key").alias("b")).distinct(), sets, per)
+    once = ~F.arrays_overlap("x_before", "y_before")
+    across = x.join(y, "token").where("x_label < y_label").where(sizes(F.col("x_n"), F.col("y_n"))).where(room).where(once)
+    more = verified(across.select(F.col("x_key").alias("a"), F.col("y_key").alias("b")), sets, per)
     found = connected_components(durable(links.union(more)))
     rows = _keys(docs, False)
     ids = rows.groupBy("key").agg(F.min("doc_id").alias("low"))
