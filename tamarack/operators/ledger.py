@@ -71,11 +71,12 @@ def step(state: dict, result: dict, policy: RetryPolicy = RetryPolicy()) -> dict
     if now["state"] == "rejected":
         return now
     category = result.get("error_category") or None
+    named, finish = category or "engine_transient", result.get("finish_reason")
+    done = result.get("ok") and finish == "stop" and (result.get("instruction") or "").strip()
     now["attempts"] += 1
-    now["transient"] += category in TRANSIENT or (policy.strict_budget and category is None and not result.get("ok"))
+    now["transient"] += category in TRANSIENT or (policy.strict_budget and category is None and finish != "length" and not done)
     now["ceiling"] = now["ceiling"] or (result.get("max_tokens") or 0) >= policy.ceiling
-    named, finish = category or "engine_transient", result.get("finish_reason")
-    if result.get("ok") and finish == "stop" and (result.get("instruction") or "").strip():
+    if done:
         return now | {"state": "complete", "reason": "ok", "instruction": result["instruction"]}
     if named in REJECTED_AT_ONCE:
         return now | {"state": "rejected", "reason": named}
