@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm import exchange as X
-from tamarack.llm.words import Words, mix, slices, windows
+from tamarack.llm.words import Words, mix, slices, tidy, windows
 from tamarack.operators.graph import connected_components
 from tamarack.storage import durable
 
@@ -110,12 +110,14 @@ def records(docs: DataFrame, n: int, per: int, plan: X.Layout | None) -> DataFra
     texts = X.chunked(_keys(docs, True), lay.chunks, "key")
 
     def count(key, table):
+        tidy()
         parts = [X.fold(shingle_sets(w, n)[0], bits, COUNT_BITS) for _, w in slices(_once(table).column("text"), lower=True)]
         keys, counts = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
         cut = X.by_bucket(keys, bits, COUNT_BITS)
         return X.payload([(b, key[0].as_py(), X.pack(keys[i:j]), X.squeeze(counts[i:j].astype(np.uint32))) for b, i, j in cut], _SENT)
 
     def add_up(table):
+        tidy()
         chunks = table.column("chunk").to_pylist()
         keys = [X.unpack(k) for k in table.column("keys").to_pylist()]
         counts = np.concatenate([X.expand(c, np.uint32) for c in table.column("counts").to_pylist()])
@@ -138,6 +140,7 @@ def records(docs: DataFrame, n: int, per: int, plan: X.Layout | None) -> DataFra
         return head[grade[head] > 0]
 
     def describe(key, table, back):
+        tidy()
         table = _once(table)
         names = table.column("key").to_pylist()
         known, grades = np.zeros(0, np.uint64), np.zeros(0, np.uint8)

@@ -7,6 +7,7 @@ sums modulo 2**64 with odd bases, so the hash of any span costs two look-ups; a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,10 @@ LOWER[65:91] += 32
 
 #: Odd multipliers of the byte level and of two independent window levels.
 BYTE_BASE, WINDOW_BASES = 0x9E3779B97F4A7C15, (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _libc = None
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -27,7 +32,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i < n."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        m = max(n, 1 << 21)
+        m = 1 << (max(n, 1 << 16) - 1).bit_length()
         up, down = np.full(m, base, np.uint64), np.full(m, pow(base, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         have = _powers[base] = (np.cumprod(up), np.cumprod(down))
@@ -44,6 +49,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def tidy() -> None:
+    """Give memory that NumPy and Arrow have freed back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 @dataclass
 class Words:
     """Words of a slice of documents: ``hash``, ``doc`` (index in the slice), byte ``start`` and ``end``."""
