@@ -3,7 +3,7 @@
 Templates and documents are read as lower-case runs of letters and digits. Hashes of ``k`` such words are winnowed
 (the smallest of every ``window`` neighbours), and the templates' choices form a small inverted index. A document's
 choices probe it; hits on one template and near one diagonal are one candidate place. There the template is aligned
-with the words around the diagonal inside a band, and matches of ``min_coverage`` of the template's words or more are
+with the words around the diagonal inside a band (at most half the template wide), and matches of ``min_coverage`` of the template's words or more are
 reported with their span. The index grows with the templates only; documents are scanned whole, without a shuffle.
 
 Null and empty texts have no rows. A text with a template several times has a row for each place; of overlapping
@@ -122,17 +122,18 @@ def places(index: Index, doc_words: np.ndarray, probes: np.ndarray, at: np.ndarr
     for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist(), strict=True):
         for t, q in index.where[a:b].tolist():
             starts.setdefault(t, []).append(p - q)
-    text, found = None, []
+    found = []
     for t, diagonals in starts.items():
         diagonals.sort()
         template, best, last = index.words[t], [], None
+        reach = min(band, max(1, len(template) // 2))  # short notices may follow each other closely
         for d in diagonals:
-            if last is not None and d - last <= band:
+            if last is not None and d - last <= reach:
                 continue
             last = d
-            lo_word = max(0, d - band)
-            text = doc_words[lo_word : d + len(template) + band + 1].tolist()
-            n, first, end = align(text, template, d - lo_word, band)
+            lo_word = max(0, d - reach)
+            text = doc_words[lo_word : d + len(template) + reach + 1].tolist()
+            n, first, end = align(text, template, d - lo_word, reach)
             if n >= min_coverage * len(template):
                 best.append((n, first + lo_word, end + lo_word + 1))
         taken = -1
