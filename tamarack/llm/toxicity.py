@@ -70,7 +70,7 @@ def log_odds(toxic: int, clean: int, n_toxic: int, n_clean: int) -> tuple[float,
     return d, d / math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
 
 
-def lexicons(train: DataFrame, least: int = 5, z: float = 3.0, size: int = 4000) -> list[tuple[dict, dict]]:
+def lexicons(train: DataFrame, least: int = 4, size: int = 4000) -> list[tuple[dict, dict]]:
     """Word and stem lexicons from each half of ``train(text, toxic, half)`` and from all of it: [half 0, half 1, all]."""
     tokens = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
     stems = F.array_distinct(F.transform(F.filter(tokens, lambda w: F.length(w) > STEM), lambda w: F.concat(F.lit("\x00"), F.substring(w, 1, STEM))))
@@ -82,6 +82,8 @@ def lexicons(train: DataFrame, least: int = 5, z: float = 3.0, size: int = 4000)
     out = []
     for halves in ((0,), (1,), (0, 1)):
         total = [sum(n.get((h, y), 0) for h in halves) for y in (0, 1)]
+        # The more documents, the more terms are tried, and the surer a term must be.
+        z = max(2.0, math.sqrt(2 * math.log(1 + total[1] / 8)))
         words, stem = {}, {}
         for r in rows:
             t, c = (sum(r[f"n{h}{y}"] for h in halves) for y in (1, 0))
