@@ -6,7 +6,8 @@ floor(m/2) to the rest, along the dimension in which its rows lie widest apart.
 sorting: sums of bytes in 4096 equal bins of the node's keys, then in 4096 bins of the bin that holds the cut, until
 that bin weighs under ``tolerance`` of a shard or can't be cut. Keys end in a hash of the text and one of the row, so
 equal texts stay neighbours, and a value or a group of copies that holds a third of all bytes is still cut where the
-median falls. Per level, only ``shards x 4096`` sums reach the driver; rows are never sorted or shuffled for the tree.
+median falls. Rows are never sorted or shuffled for the tree: each pass adds up bytes by node and bin, and the nodes (no
+more rows than shards) are broadcast to the next. The driver only asks whether any node is still without a cut.
 
 Null texts weigh the overhead alone. Null metadata are a value of their own. Repeated rows are separate rows; rows that
 are equal in every column share a key and so a shard. An empty table gives an empty result.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.operators.slots import dense_slots
@@ -36,70 +37,41 @@ def weigh(docs: DataFrame, categories: list[str], overhead: int = 8, text: str =
     return docs.select("doc_id", size.alias("size"), F.crc32(body).alias("text_crc32"), *keys)
 
 
-def _node(nodes: dict[int, tuple], keys: list[str]) -> Column:
-    """The leaf of a row, walking the splits made so far: ``node -> (key, cut, left, right)``."""
-
-    def walk(n: int) -> Column:
-        if n not in nodes:
-            return F.lit(n)
-        key, cut, left, right = nodes[n]
-        return F.when(F.col(key) < cut, walk(left)).otherwise(walk(right))
-
-    return walk(0)
-
-
-def kd_tree(rows: DataFrame, shards: int, tolerance: float = 0.0005) -> tuple[Column, dict]:
-    """The shard of a row as an expression, and the splits."""
+def kd_tree(rows: DataFrame, shards: int, tolerance: float = 0.0005) -> DataFrame:
+    """``rows`` with ``shard``. A row's node is the range of shards it may still go to: ``_first`` and how many, ``_m``."""
     keys = [c for c in rows.columns if c.startswith("k_")]
-    splits: dict[int, tuple] = {}
-    todo, made, names = {0: shards}, 1, {}
-    while any(m > 1 for m in todo.values()):
-        names |= {n: m for n, m in todo.items() if m == 1}
-        open_ = {n: m for n, m in todo.items() if m > 1}
-        at = rows.withColumn("_n", _node(splits, keys)).where(F.col("_n").isin(list(open_)))
-        stats = {r["_n"]: r for r in at.groupBy("_n").agg(F.sum("size").alias("w"), *[f(k).alias(f"{g}_{k}") for k in keys for g, f in (("lo", F.min), ("hi", F.max))]).collect()}
-        todo, search = {}, {}
-        for n, m in open_.items():
-            r = stats.get(n)
-            if r is None:  # no rows: all its shards stay empty
-                names[n] = 1
-                continue
-            top = TEXT + ROW
-            key = max(keys, key=lambda k: ((r[f"hi_{k}"] >> top) - (r[f"lo_{k}"] >> top), k))
-            lo, hi = r[f"lo_{key}"], r[f"hi_{key}"] + 1
-            search[n] = [key, lo, hi, r["w"] * (m // 2) / m, r["w"] / m * tolerance]
-        done: dict[int, tuple[str, int]] = {}
-        while search:
-            width = {n: max(1, -(-(s[2] - s[1]) // (1 << FAN))) for n, s in search.items()}
-            pick = lambda f: F.create_map(*[F.lit(v) for n in search for v in (n, f(n))])[F.col("_n")]
-            key = F.coalesce(*[F.when(F.col("_n").isin([n for n, s in search.items() if s[0] == k]), F.col(k)) for k in keys])
-            x = at.where(F.col("_n").isin(list(search))).withColumn("_k", key).where((F.col("_k") >= pick(lambda n: search[n][1])) & (F.col("_k") < pick(lambda n: search[n][2])))
-            bins = x.withColumn("_lo", pick(lambda n: search[n][1])).withColumn("_width", pick(lambda n: width[n])).withColumn("_b", F.expr("(_k - _lo) div _width"))
-            bins = bins.groupBy("_n", "_b").agg(F.sum("size").alias("w"))
-            sums: dict[int, list] = {}
-            for r in bins.collect():
-                sums.setdefault(r["_n"], []).append((r["_b"], r["w"]))
-            for n in list(search):
-                k, lo, _, want, close = search[n]
-                run = 0
-                for b, w in sorted(sums[n]):
-                    if run + w >= want:
-                        begin = lo + b * width[n]
-                        if width[n] == 1 or w <= close:
-                            done[n] = (k, begin if want - run < run + w - want else begin + width[n])
-                            del search[n]
-                        else:
-                            search[n][1:4] = [begin, begin + width[n], want - run]
-                        break
-                    run += w
-        for n, (k, cut) in done.items():
-            splits[n] = (k, cut, made, made + 1)
-            todo |= {made: open_[n] // 2, made + 1: open_[n] - open_[n] // 2}
-            made += 2
-    names |= todo
-    number = {n: i for i, n in enumerate(sorted(names))}
-    leaf = _node(splits, keys)
-    return F.create_map(*[F.lit(v) for p in number.items() for v in p])[leaf].cast("int"), splits
+    top = TEXT + ROW
+    rows = rows.withColumn("_first", F.lit(0)).withColumn("_m", F.lit(shards))
+    for _ in range(max(0, shards - 1).bit_length()):
+        todo = rows.where("_m > 1")
+        stats = todo.groupBy("_first", "_m").agg(F.sum("size").alias("w"), F.array(*[F.min(k) for k in keys]).alias("los"), F.array(*[F.max(k) for k in keys]).alias("his"))
+        spans = F.zip_with("los", "his", lambda lo, hi: F.shiftright(hi, top) - F.shiftright(lo, top))
+        nodes = stats.withColumn("d", F.array_position(spans, F.array_max(spans)).cast("int")).select(
+            "_first", "d", F.element_at("los", F.col("d")).alias("lo"), (F.element_at("his", F.col("d")) + 1).alias("hi"),
+            (F.col("w") * F.expr("_m div 2") / F.col("_m")).alias("want"), (F.col("w") / F.col("_m") * tolerance).alias("close"), F.lit(None).cast("bigint").alias("cut"),
+        )
+        nodes = durable(nodes)  # at most `shards` rows, here and below
+        key = F.element_at(F.array(*keys), F.col("d"))
+        while not nodes.where("cut is null").isEmpty():
+            wide = nodes.where("cut is null").withColumn("width", F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo")) / (1 << FAN))).cast("bigint"))
+            near = todo.select("_first", "size", *keys).join(F.broadcast(wide.select("_first", "d", "lo", "hi", "width")), "_first").withColumn("k", key).where("k >= lo and k < hi")
+            bins = near.groupBy("_first", F.expr("(k - lo) div width").alias("b")).agg(F.sum("size").alias("here"))
+            run = bins.withColumn("run", F.sum("here").over(Window.partitionBy("_first").orderBy("b")))  # at most 4096 bins a node
+            hit = run.join(F.broadcast(wide), "_first").where("run >= want").groupBy("_first").agg(F.min_by(F.struct("b", "here", "run"), "b").alias("x"))
+            met = wide.join(hit, "_first")
+            begin, prior = F.col("lo") + F.col("x.b") * F.col("width"), F.col("x.run") - F.col("x.here")
+            found = F.when((F.col("width") == 1) | (F.col("x.here") <= F.col("close")), F.when(F.col("want") - prior < F.col("x.run") - F.col("want"), begin).otherwise(begin + F.col("width")))
+            step = met.select("_first", "d", begin.alias("lo"), (begin + F.col("width")).alias("hi"), (F.col("want") - prior).alias("want"), "close", found.alias("cut"))
+            nodes = durable(nodes.where("cut is not null").unionByName(step))
+        cut = F.broadcast(nodes.select("_first", "d", "cut"))
+        low = F.coalesce(key < F.col("cut"), F.lit(True))
+        half = F.expr("_m div 2").cast("int")
+        moved = rows.join(cut, "_first", "left").select(
+            *[c for c in rows.columns if c not in ("_first", "_m")], F.when(F.col("cut").isNull() | low, F.col("_first")).otherwise(F.col("_first") + half).cast("int").alias("_first"),
+            F.when(F.col("cut").isNull(), F.col("_m")).when(low, half).otherwise(F.col("_m") - half).cast("int").alias("_m"),
+        )
+        rows = durable(moved)
+    return rows.withColumnRenamed("_first", "shard").drop("_m")
 
 
 def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, categories: list[str] | None = None) -> DataFrame:
@@ -108,6 +80,5 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     rows = durable(weigh(docs, cols))
     if shards is None:
         shards = max(1, math.ceil((rows.agg(F.sum("size")).first()[0] or 0) / target_bytes))
-    which, _ = kd_tree(rows, shards)
-    placed = rows.select("doc_id", "size", "text_crc32", which.alias("shard"))
-    return dense_slots(placed, "shard", ["doc_id", "text_crc32", "size"], "slot")
+    placed = kd_tree(rows, shards).select("doc_id", "size", "text_crc32", "shard")
+    return dense_slots(durable(placed), "shard", ["doc_id", "text_crc32", "size"], "slot")
