@@ -35,8 +35,15 @@ class Layout:
         return 1 << self.bits
 
 
-def layout(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> Layout:
-    """Layout for the whole text of ``docs`` (one pass that only adds up lengths)."""
+def layout(docs: DataFrame, text: str = "text") -> Layout:
+    """Layout for the whole text of ``docs`` (one pass that only adds up lengths).
+
+    The defaults suit executors with half a gigabyte for a Python worker. Larger workers and corpora should set
+    ``spark.tamarack.chunkBytes`` and ``spark.tamarack.bucketBytes`` higher: the exchange has at most one row per
+    chunk and bucket, so rows stay well filled while chunk size x bucket size is well above the total.
+    """
+    conf = docs.sparkSession.conf
+    chunk_bytes, bucket_bytes = int(conf.get("spark.tamarack.chunkBytes", str(CHUNK_BYTES))), int(conf.get("spark.tamarack.bucketBytes", str(BUCKET_BYTES)))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return Layout(max(1, -(-total // chunk_bytes)), max(0, (total // bucket_bytes).bit_length()))
 
@@ -82,12 +89,13 @@ def fold(keys: np.ndarray, bits: int, width: int) -> np.ndarray:
 
 def by_bucket(folded: np.ndarray, bits: int, width: int) -> list[tuple[int, int, int]]:
     """Slices ``(bucket, from, to)`` of sorted folded keys."""
-    w = np.uint64(min(64, bits + width) - bits)
-    edges = np.searchsorted(folded, np.arange((1 << bits) + 1, dtype=np.uint64) << w) if bits else np.array([0, len(folded)])
-    if bits:
-        edges[-1] = len(folded)
-    return [(b, int(edges[b]), int(edges[b + 1])) for b in range(1 << bits) if edges[b + 1] > edges[b]]
-
+    if not len(folded):
+        return []
+    if not bits:
+        return [(0, 0, len(folded))]
+    bucket = (folded >> np.uint64(min(64, bits + width) - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return list(zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(folded)], strict=True))
 
 def payload(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     """Rows as an Arrow table of ``schema``."""
