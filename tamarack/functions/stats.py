@@ -44,6 +44,11 @@ def steps_per_run(rows: Column, batch: Column, accumulation: Column, epochs: Col
     return held(low), held(high)
 
 
+def warmup_steps(steps: Column, fraction: float) -> Column:
+    """A fraction of all steps, rounded up."""
+    return F.ceil(steps * F.lit(float(fraction)))
+
+
 def loss_reduction(first: Column, last: Column) -> Column:
     """``1 - last / first`` of two finite numbers, the first positive; else null."""
     return F.when(finite(first) & finite(last) & (first > 0), 1 - last / first)

@@ -110,3 +110,15 @@ def log_tail(c: Column | str, lines: int = 40, chars: int = 4000) -> Column:
     """The last lines, and of these the last characters."""
     parts = F.split(py_strip(c), "\n")
     return F.right(F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - lines + 1), lines), "\n"), F.lit(chars))
+
+
+def positive_list(c: Column | str) -> Column:
+    """A comma-separated list of distinct positive integers; null if it is anything else."""
+    parts = F.transform(F.split(_col(c), ","), lambda x: F.trim(x).try_cast("int"))
+    ok = F.forall(parts, lambda x: F.coalesce(x > 0, F.lit(False))) & (F.size(F.array_distinct(parts)) == F.size(parts))
+    return F.when(ok, parts)
+
+
+def scalar_text(c: Column | str) -> Column:
+    """Any scalar as text; null stays null."""
+    return _col(c).cast("string")

@@ -78,3 +78,31 @@ def manifest_tests(index: str = "source_row_index") -> dict[str, Column]:
         "manifest.image_present": valid & F.coalesce(F.octet_length("image") == 0, F.lit(True)), "manifest.rejection_reason": ~valid & F.col("rejection_reason").isNull(),
         "manifest.no_reason_when_valid": valid & F.col("rejection_reason").isNotNull(), "manifest.index_not_negative": F.col(index) < 0,
     }
+
+
+def run_checks(checks: list[tuple[str, tuple[str, ...], object]], skip: tuple[str, ...] = ()) -> list[dict]:
+    """Driver-side checks ``(name, prerequisites, function)`` in order: a check whose prerequisite did not pass is skipped,
+    an exception fails it."""
+    done: dict[str, str] = {}
+    out = []
+    for name, needs, test in checks:
+        detail = ""
+        if name in skip:
+            status = "skipped"
+        elif lacking := [n for n in needs if done.get(n) != "pass"]:
+            status, detail = "skipped", f"needs {', '.join(lacking)}"
+        else:
+            try:
+                result = test()
+                status, detail = ("pass", "") if result in (None, True) else ("fail", str(result))
+            except Exception as e:
+                status, detail = "fail", f"{type(e).__name__}: {e}"
+        done[name] = status
+        out.append({"check": name, "status": status, "detail": detail})
+    return out
+
+
+def all_true(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: which booleans failed anywhere, and whether all hold."""
+    bad = F.array_compact(F.array(*[F.when(~F.every(F.coalesce(c, F.lit(False))), c) for c in columns]))
+    return df.agg(bad.alias("failed")).withColumn("passed", F.size("failed") == 0)

@@ -111,3 +111,25 @@ def yaml_document(path: str, seen: tuple[str, ...] = ()) -> dict:
     found = yaml.safe_load(Path(here).read_text(encoding="utf-8")) or {}
     parent = found.pop("inherits", None)
     return merged(yaml_document(str(Path(here).parent / parent), (*seen, here)), found) if parent else found
+
+
+def prompt(folder: str, version: str, pins: dict[str, str]) -> str:
+    """A registered prompt, refused unless its normalised text has the pinned digest."""
+    import hashlib
+
+    if version not in pins:
+        raise ValueError(f"unknown prompt version {version!r}")
+    text = " ".join(Path(folder, f"{version}.txt").read_text(encoding="utf-8").split())
+    if hashlib.sha256(text.encode()).hexdigest() != pins[version]:
+        raise ValueError(f"prompt {version!r} differs from its pin")
+    return text
+
+
+def image_bytes(spark: SparkSession, df: DataFrame, column: str, folder: str | None = None) -> DataFrame:
+    """Append ``image`` from text that is base64 or, where it isn't, the name of a file under ``folder``."""
+    decoded = df.withColumn("image", F.try_to_binary(F.col(column), F.lit("base64")))
+    if folder is None:
+        return decoded
+    held = binaries(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("_name"), F.col("content").alias("_content"))
+    joined = decoded.join(held, F.col("image").isNull() & (F.element_at(F.split(column, "/"), -1) == F.col("_name")), "left")
+    return joined.withColumn("image", F.coalesce("image", "_content")).drop("_name", "_content")

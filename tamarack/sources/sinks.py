@@ -144,3 +144,34 @@ def table_report(title: str, df: DataFrame, limit: int = 1000) -> str:
 def document_line(**fields: Column) -> Column:
     """A logical row whose text fields are escaped here: pass text columns as they are."""
     return logical_row(**{n: json_string(c) for n, c in fields.items()})
+
+
+def card(title: str, facts: dict, tables: dict[str, DataFrame] | None = None) -> str:
+    """A Markdown card: facts as a list, small tables below."""
+    lines = [f"# {title}", ""] + [f"- **{k}**: {_cell(v)}" for k, v in facts.items()] + [""]
+    for name, df in (tables or {}).items():
+        lines += [f"## {name}", "", markdown([r.asDict() for r in df.limit(1000).collect()], df.columns)]
+    return "\n".join(lines)
+
+
+def progress(states: dict[str, int], rates: dict[str, float | None]) -> str:
+    """A progress report in text: rows per state, share done, rates and time to go."""
+    total = sum(states.values())
+    done = states.get("complete", 0) + states.get("rejected", 0)
+    eta = rates.get("eta_seconds")
+    lines = [f"{k:>10}: {v}" for k, v in states.items()] + [f"{'done':>10}: {done / total:.1%}" if total else f"{'done':>10}: -"]
+    lines.append(f"{'per hour':>10}: {_cell(rates.get('recent_per_hour'))} lately, {_cell(rates.get('overall_per_hour'))} overall")
+    lines.append(f"{'to go':>10}: " + ("-" if eta is None else f"{int(eta) // 3600}h {int(eta) % 3600 // 60:02d}m"))
+    return "\n".join(lines) + "\n"
+
+
+def evidence(path: str, gate: str, status: str, identity: str, detail: dict) -> None:
+    """A gate's evidence document; only passed or failed can be recorded."""
+    if status not in ("passed", "failed"):
+        raise ValueError(f"status {status!r}")
+    json_atomic(path, {"gate": gate, "status": status, "identity_sha256": identity, "detail": detail})
+
+
+def step_log(df: DataFrame, path: str) -> None:
+    """Append step rows ``time, step, epoch, logs`` as JSON lines."""
+    df.select("time", "step", "epoch", "logs").write.mode("append").json(path)
