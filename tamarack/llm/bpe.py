@@ -18,21 +18,29 @@ from __future__ import annotations
 
 import hashlib
 import json
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.llm.words import tidy
+
 #: Words of more characters are looked at for unsplit runs.
 LONG_WORD = 512
 #: Characters in a leaf of the tree.
 LEAF = 128
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
+#: The byte-level alphabet: printable bytes stand for themselves, the others for characters from U+0100 on; spaces stay.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SYMBOLS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)} | {32: " "}
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def _library():
@@ -53,68 +61,81 @@ class Codec:
         self.tokenizer.no_padding()
         self.kept_words, self.long_word, self.leaf = kept_words, long_word, max(2, leaf)
         self.packed: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         model = json.loads(self.tokenizer.to_str())["model"]
         self.mark = model.get("end_of_word_suffix")
         self.ends = np.array([bool(self.mark) and t.endswith(self.mark) for t in self.tokens])
+        probe = "Probe of THE \u00e4\u00d6\u00df \u00e9t\u00e9 \u4f60\u597d\u0416 letters"
+        self.bytewise = bool(self.mark) and self.models[1].encode(self._symbols(probe), add_special_tokens=False).ids == self.tokenizer.encode(probe, add_special_tokens=False).ids
 
     def whole(self, text: str) -> np.ndarray:
         """The library's own encoding."""
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text (little-endian unsigned 32-bit), equal to :meth:`whole`."""
         if not text:
             return np.zeros(0, "<u4")
-        if any(s in text for s in self.special) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if any(s in text for s in self.special) or any(c in text for c in _SEPARATORS):
             return self.whole(text)
-        words = text.split()
-        try:
-            return np.frombuffer(b"".join(map(self.packed.__getitem__, words)), "<u4")
-        except KeyError:
-            pass
-        known = self.packed
-        fresh = self._learn(list({w for w in words if w not in known}))
-        if fresh is known:
-            return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-        return np.frombuffer(b"".join([known[w] if w in known else fresh[w] for w in words]), "<u4")
+        words, known = text.split(), self.packed
+        packed = list(map(known.get, words))
+        if None in packed:
+            holes = [i for i, p in enumerate(packed) if p is None]
+            fresh = self._learn(list({words[i] for i in holes}))
+            for i in holes:
+                packed[i] = fresh[words[i]]
+            if len(known) + len(fresh) <= self.kept_words:
+                known.update(fresh)
+        return np.frombuffer(b"".join(packed), "<u4")
 
     def _learn(self, unseen: list[str]) -> dict[str, bytes]:
-        """Encode unseen words and keep them while there is room; gives the table that has them."""
+        """Packed ids of words."""
         found: dict[str, bytes] = {}
-        cores, odd = [], []
+        plain, cores, ends, odd = [], [], {}, []
+        mark, limit = self.mark, self.long_word
         for w in unseen:
-            core = w.rstrip(".,")
-            if self.mark and len(w) <= self.long_word and core.lower().isalpha() and core.isalpha():
+            core = w if w.isalpha() else w.rstrip(".,")
+            if mark and core.isalpha() and len(w) <= limit and (core.isascii() or core.lower().isalpha()):
+                plain.append(w)
                 cores.append(core)
+                if len(core) < len(w):
+                    ends[w[len(core) :]] = b""
             else:
                 odd.append(w)
-                cores.append("")
-        joined = " ".join(c for c in cores if c)
-        ids = self.whole(joined) if joined else np.zeros(0, "<u4")
-        # A run of letters is one unit of the splitter, and each unit's last token alone carries the mark.
-        cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        raw, at, cut = ids.tobytes(), 0, iter(cuts.tolist())
-        for w, core in zip(unseen, cores, strict=True):
-            if core:
-                to = next(cut)
-                found[w] = raw[at:to] if len(core) == len(w) else raw[at:to] + self._odd(w[len(core) :])
-                at = to
+        tails = self.tails
+        short = [w for w in odd if len(w) <= self.long_word] + [e for e in ends if e not in tails]
+        single = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(short, self.tokenizer.encode_batch_fast(short, add_special_tokens=False), strict=True)} if short else {}
+        for e in ends:
+            if e not in tails and len(tails) < 1000:
+                tails[e] = single[e]
         for w in odd:
-            found[w] = self._odd(w)
-        if self.kept_words - len(self.packed) >= len(found):
-            self.packed.update(found)
-            return self.packed
+            found[w] = single[w] if w in single else self._long(w).tobytes()
+        if cores:
+            # A run of letters is one unit of the splitter, and each unit's last token alone carries the mark.
+            ids = self._letters(" ".join(cores))
+            raw, at = ids.tobytes(), 0
+            for w, core, to in zip(plain, cores, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), strict=True):
+                if len(core) == len(w):
+                    found[w] = raw[at:to]
+                else:
+                    end = w[len(core) :]
+                    found[w] = raw[at:to] + (tails[end] if end in tails else single[end])
+                at = to
         return found
 
-    def _odd(self, word: str) -> bytes:
-        if word in self.packed:
-            return self.packed[word]
-        out = (self._long(word) if len(word) > self.long_word else self.whole(word)).astype("<u4").tobytes()
-        if len(word) < 4 and len(self.packed) < self.kept_words:
-            self.packed[word] = out
-        return out
+    def _letters(self, joined: str) -> np.ndarray:
+        """Ids of words of letters only, joined by spaces. Where folding case is plain, the vocabulary's merges can be
+        run on the byte symbols at once; the library's own text handling costs three times the merging."""
+        if self.bytewise and not any(c in joined for c in "\u0130\u03a3") and unicodedata.is_normalized("NFC", joined):
+            return np.array(self.models[1].encode_batch_fast([self._symbols(joined)], add_special_tokens=False)[0].ids, "<u4")
+        return self.whole(joined)
+
+    @staticmethod
+    def _symbols(text: str) -> str:
+        return text.lower().encode().decode("latin-1").translate(_BYTE_SYMBOLS)
 
     def _long(self, word: str) -> np.ndarray:
         """A word with long unsplit runs: each run by tree concatenation."""
@@ -132,6 +153,7 @@ class Codec:
             merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["merges"]]
             mark = self.mark
             self._models = tuple(lib.Tokenizer(lib.models.BPE(vocab=spec["vocab"], merges=merges, **more)) for more in ({}, {"end_of_word_suffix": mark} if mark else {}))
+            self._models[1].pre_tokenizer = lib.pre_tokenizers.WhitespaceSplit()
             self._bare = [t[: -len(mark)] if mark and t.endswith(mark) else t for t in self.tokens]
         return self._models
 
@@ -183,21 +205,36 @@ def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callab
 
     kinds = [to_arrow_type(f.dataType) for f in fields]
     keep = [c for c in df.columns if c not in names and (keep_text or c != column)]
+    hidden = "_text"
+    while hidden.lower() in {c.lower() for c in df.columns}:
+        hidden += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                rows = work(part.column(part.schema.get_field_index("_text")).to_pylist())
+            for at, rows_in in _pieces(batch.column(len(keep)), step):
+                part = batch.slice(at, rows_in)
+                rows = work(part.column(len(keep)).to_pylist())
                 made = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + made, keep + names)
+        tidy()
 
-    kept = df.select(*keep, F.col(column).cast("string").alias("_text"))
+    kept = df.select(*keep, F.col(column).cast("string").alias(hidden))
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]), *(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)])
     return kept.mapInArrow(run, out)
 
 
+def _pieces(texts: pa.Array, step: int, size: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """``(first row, rows)`` of at most ``step`` rows and about ``size`` bytes; a longer text is a piece of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, n = 0, len(texts)
+    while at < n:
+        base = int(ends[at - 1]) if at else 0
+        to = min(n, at + step, max(at + 1, int(np.searchsorted(ends, base + size, "right"))))
+        yield at, to - at
+        at = to
+
+
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` without ``text`` and with ``ids array<int>``."""
 
