@@ -50,7 +50,7 @@ def kd_tree(rows: DataFrame, shards: int, tolerance: float = 0.0005) -> DataFram
             "_first", "d", F.element_at("los", F.col("d")).alias("lo"), (F.element_at("his", F.col("d")) + 1).alias("hi"),
             (F.col("w") * F.expr("_m div 2") / F.col("_m")).alias("want"), (F.col("w") / F.col("_m") * tolerance).alias("close"), F.lit(None).cast("bigint").alias("cut"),
         )
-        nodes = durable(nodes)  # at most `shards` rows, here and below
+        nodes = durable(nodes.coalesce(1))  # at most `shards` rows, here and below
         key = F.element_at(F.array(*keys), F.col("d"))
         while not nodes.where("cut is null").isEmpty():
             wide = nodes.where("cut is null").withColumn("width", F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo")) / (1 << FAN))).cast("bigint"))
@@ -62,7 +62,7 @@ def kd_tree(rows: DataFrame, shards: int, tolerance: float = 0.0005) -> DataFram
             begin, prior = F.col("lo") + F.col("x.b") * F.col("width"), F.col("x.run") - F.col("x.here")
             found = F.when((F.col("width") == 1) | (F.col("x.here") <= F.col("close")), F.when(F.col("want") - prior < F.col("x.run") - F.col("want"), begin).otherwise(begin + F.col("width")))
             step = met.select("_first", "d", begin.alias("lo"), (begin + F.col("width")).alias("hi"), (F.col("want") - prior).alias("want"), "close", found.alias("cut"))
-            nodes = durable(nodes.where("cut is not null").unionByName(step))
+            nodes = durable(nodes.where("cut is not null").unionByName(step).coalesce(1))
         cut = F.broadcast(nodes.select("_first", "d", "cut"))
         low = F.coalesce(key < F.col("cut"), F.lit(True))
         half = F.expr("_m div 2").cast("int")
