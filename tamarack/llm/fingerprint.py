@@ -37,13 +37,15 @@ def sketch(df: DataFrame, text: str, name: str, k: int = 3, bins: int = 32, take
     w, h, s, o, g, b = (f"_{name}_{x}" for x in ("w", "h", "s", "o", "g", "b"))
     some = lambda c, x: F.when(F.size(c) > 0, x).otherwise(F.array().cast("array<bigint>"))
     mask, low = (1 << KEY) - 1, (1 << POSITION) - 1
-    out = df.withColumn(w, F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda x: x != ""))
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+")
+    out = df.withColumn(w, F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.xxhash64(x)))
     # One long per k-mer: the top of its hash, then its position.
     n = F.size(w)
     count = F.when(n == 0, 0).otherwise(F.greatest(F.lit(1), n - (k - 1)))
-    scale = F.shiftright(n, POSITION) + 1
-    gram = lambda i: F.xxhash64(*[F.get(F.col(w), i + j) for j in range(k)])  # noqa: E731  missing words of short texts are null
-    hashed = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.shiftleft(F.shiftrightunsigned(gram(i), 64 - KEY), POSITION).bitwiseOR((i / scale).cast("long")))
+    scale = F.greatest(F.lit(0), F.length(F.bin(n.cast("bigint"))) - POSITION)
+    gram = lambda x, i: F.xxhash64(x, *[F.get(F.col(w), i + j) for j in range(1, k)])  # noqa: E731  missing words of short texts are null
+    packed = lambda x, i: F.shiftleft(F.shiftrightunsigned(gram(x, i), 64 - KEY), POSITION).bitwiseOR(F.call_function("shiftright", i, scale).cast("long"))
+    hashed = F.transform(F.slice(F.col(w), F.lit(1), count), packed)
     out = out.withColumn(h, F.sort_array(F.when(count > 0, hashed).otherwise(F.array().cast("array<bigint>"))))
     # Number occurrences: equal hashes are neighbours now.
     out = out.withColumn(s, some(h, F.transform(h, lambda x: F.shiftright(x, POSITION))))
@@ -80,21 +82,25 @@ def likeness(a: str, b: str) -> Column:
     return F.when(x.isNull() | y.isNull(), F.lit(0.0)).when(total("any") == 0, 1.0).otherwise(total("same") / total("any"))
 
 
-def with_next(docs: DataFrame, order: str, columns: list[str], parts: int) -> DataFrame:
-    """Append ``next_<c>`` of the row that follows in ascending ``order`` (the last row's is the first row's).
+def with_next(docs: DataFrame, order: str, columns: list[str], parts: int, derive=lambda df: df) -> DataFrame:
+    """``derive(docs)`` with ``next_<c>`` of the row that follows in ascending ``order`` (the last row's is the first row's).
 
-    Rows are dealt to ranges of ``order`` by approximate quantiles, so each range is one sorted partition; only the
-    first row of each range is looked up across ranges.
+    Rows are dealt to ranges of ``order`` by approximate quantiles, so each range is one sorted partition and texts move
+    once. Only the first row of each range is looked up across ranges; these few are found by a map-side minimum before
+    anything is derived. Rows of equal ``order`` follow each other by a hash of their other columns.
     """
     cuts = docs.select(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000).alias("q")).first().q or []
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    ranged = docs.withColumn("_range", F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col(order))), F.lit(0))).repartition(max(1, len(set(cuts)) + 1), "_range")
-    tie = [F.xxhash64(*[c for c in docs.columns if c != order])]
-    w = Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first(), *tie)
-    placed = ranged.select("*", F.row_number().over(w).alias("_at"), *[F.lead(F.struct(c)).over(w).alias(f"_next_{c}") for c in columns])
-    heads = durable(ranged.groupBy("_range").agg(F.min_by(F.struct(*columns), F.struct(F.col(order), *tie)).alias("_head")))  # one row per range
+    ranged = docs.withColumn("_range", F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col(order))), F.lit(0)))
+    ranged = ranged.withColumn("_tie", F.xxhash64(*[c for c in docs.columns if c != order]))
+    first_rows = ranged.groupBy("_range").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col(order), F.col("_tie"))).alias("_row")).select("_range", "_row.*")
+    heads = durable(derive(first_rows).select("_range", F.struct(*columns).alias("_head")))  # one row per range
+    moved = derive(ranged).repartition(max(1, len(set(cuts)) + 1), "_range")
+    w = Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first(), "_tie")
+    placed = moved.withColumns({f"_next_{c}": F.lead(F.struct(c)).over(w) for c in columns})
     across = Window.orderBy("_range")
     first = F.first("_head").over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     follow = heads.select("_range", F.coalesce(F.lead("_head").over(across), first).alias("_head"))
     out = placed.join(follow, "_range")
-    return out.select(*docs.columns, *[F.coalesce(F.col(f"_next_{c}"), F.struct(F.col("_head")[c].alias(c)))[c].alias(f"next_{c}") for c in columns])
+    kept = [c for c in moved.columns if c not in ("_range", "_tie")]
+    return out.select(*kept, *[F.coalesce(F.col(f"_next_{c}"), F.struct(F.col("_head")[c].alias(c)))[c].alias(f"next_{c}") for c in columns])

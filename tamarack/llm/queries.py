@@ -56,8 +56,8 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    marked = fingerprint.sketch(docs.withColumn("text", F.coalesce("text", F.lit(""))), "text", "fp")
-    rows = fingerprint.with_next(marked, "doc_id", ["text", "fp"], parts)
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = fingerprint.with_next(docs, "doc_id", ["text", "fp"], parts, lambda df: fingerprint.sketch(df, "text", "fp"))
     n = F.length("text")
     half = (n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
