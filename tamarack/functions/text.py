@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: White space as ``str.isspace`` has it, in a form that Java's regex and RE2 both read.
 WS = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same characters.
+WS_CHARACTERS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _col(c: Column | str) -> Column:
@@ -19,8 +21,8 @@ def bind(value: Column, body) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """``str.strip()``: all white space goes from both ends."""
-    return F.regexp_replace(F.regexp_replace(_col(c), f"^{WS}+", ""), f"{WS}+$", "")
+    """``str.strip()``: all white space goes from both ends (only the ends are looked at)."""
+    return F.btrim(_col(c), F.lit(WS_CHARACTERS))
 
 
 def sql_trim(c: Column | str) -> Column:
