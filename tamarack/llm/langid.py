@@ -3,8 +3,10 @@
 For each language a suffix automaton of a bounded sample of labelled text is built. A text is parsed against it
 greedily: the longest match from here is one phrase, and the next phrase starts after it. The fewer phrases per
 character a language needs, the closer the text is to it; the fewest win. Texts are parsed whole, in stretches of
-``STRETCH`` characters that each begin a new phrase, so thousands of stretches step through the automaton's table
-together. Case is folded; runs of anything but letters count as one blank.
+``STRETCH`` characters that each begin a new phrase, so thousands of stretches step through the automaton's moves
+together. Case is folded; runs of anything but letters count as one blank. Every letter of the samples has its own
+code, of whatever script; only letters in no sample share one. Automata keep the moves that exist, sorted, so their
+size follows the sample and not the number of letters.
 
 The sample per language is bounded by ``docs_per_language`` and ``chars_per_language`` and the languages by
 ``max_languages`` (the most frequent), so the model does not grow with the corpus. Null texts and texts without a
@@ -14,6 +16,7 @@ first language. Held out is every row whose crc32(doc_id as text) mod 4 is 2.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -33,11 +36,23 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def automaton(codes: list[int], letters: int) -> np.ndarray:
-    """Suffix automaton of ``codes`` as a table ``[state * letters + code] -> next state * 2 + phrase begun``.
+@dataclass
+class Automaton:
+    """Moves of a suffix automaton: ``key`` (state * letters + code) is sorted, ``to`` is next state * letters * 2 +
+    phrase begun. Where a state has no move for a code, ``root`` of the code holds and begins a phrase."""
 
-    Where a state has no move for a code, the move from the root holds, and each move from the root begins a phrase.
-    """
+    key: np.ndarray
+    to: np.ndarray
+    root: np.ndarray
+
+    def move(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        want = state + codes
+        at = np.searchsorted(self.key, want)
+        return np.where(self.key[at] == want, self.to[at], self.root[codes])
+
+
+def automaton(codes: list[int], letters: int) -> Automaton:
+    """Suffix automaton of ``codes``; moves from the root begin a phrase."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -63,14 +78,13 @@ def automaton(codes: list[int], letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    root = np.zeros(letters, np.int32)
+    kind = np.int32 if len(moves) * letters < 1 << 30 else np.int64
+    root = np.ones(letters, kind)
     for c, to in moves[0].items():
-        root[c] = to
-    table = np.repeat((root * 2 + 1)[None, :], len(moves), 0)
-    for s, out in enumerate(moves):
-        for c, to in out.items():
-            table[s, c] = to * 2 + (s == 0)
-    return (table // 2 * letters * 2 + table % 2).astype(np.int32).ravel()
+        root[c] = to * letters * 2 + 1
+    key = np.array([s * letters + c for s, out in enumerate(moves) for c in sorted(out)] + [len(moves) * letters], kind)  # and an end
+    to = np.array([out[c] * letters * 2 + (s == 0) for s, out in enumerate(moves) for c in sorted(out)] + [1], kind)
+    return Automaton(key, to, root)
 
 
 class Model:
@@ -78,13 +92,13 @@ class Model:
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
-        alphabet = sorted({c for t in samples.values() for c in _fold(t) if c != " "})[:253]
-        self.code = np.full(0x110000, BLANK, np.uint8)
+        alphabet = sorted({c for t in samples.values() for c in _fold(t) if c != " "})
+        self.letters = len(alphabet) + 2
+        self.code = np.full(0x110000, BLANK, np.uint8 if self.letters <= 256 else np.int32)
         self.code[_letters()] = OTHER
         for i, c in enumerate(alphabet):
             self.code[ord(c)] = i + 2
-        self.letters = len(alphabet) + 2
-        self.tables = [automaton(self.codes(samples[k]).tolist(), self.letters) for k in self.langs]
+        self.automata = [automaton(self.codes(samples[k]).tolist(), self.letters) for k in self.langs]
 
     def codes(self, text: str) -> np.ndarray:
         c = self.code[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
@@ -94,7 +108,7 @@ class Model:
 
     def rates(self, texts: list[str | None]) -> np.ndarray:
         """Phrases per character, ``[text, language]``; NaN for texts without a letter."""
-        parts = [self.codes(t) if t else np.zeros(0, np.uint8) for t in texts]
+        parts = [self.codes(t) if t else np.zeros(0, self.code.dtype) for t in texts]
         size = np.array([len(p) for p in parts])
         out = np.full((len(texts), len(self.langs)), np.nan)
         some = np.array([bool((p != BLANK).any()) for p in parts])
@@ -110,11 +124,11 @@ class Model:
         by = np.argsort(-length, kind="stable")
         owner, start, length = owner[by], start[by], length[by]
         active = np.searchsorted(-length, -np.arange(1, length[0] + 1), "right")  # stretches that have an i-th character
-        for k, table in enumerate(self.tables):
-            state = np.zeros(len(owner), np.int32)
+        for k, one in enumerate(self.automata):
+            state = np.zeros(len(owner), one.key.dtype)
             phrases = np.zeros(len(owner), np.int32)
             for i, m in enumerate(active.tolist()):
-                move = table[state[:m] + flat[start[:m] + i]]
+                move = one.move(state[:m], flat[start[:m] + i])
                 phrases[:m] += move & 1
                 state[:m] = move >> 1
             out[:, k] = np.bincount(owner, phrases, len(texts)) / np.maximum(size, 1)

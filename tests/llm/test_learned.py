@@ -91,6 +91,24 @@ def test_cross_parsing():
             assert m.rates([t])[0][k] == pytest.approx(phrases / len(codes))
 
 
+def test_many_letters():
+    """Every sampled letter counts: two languages of one shape, with letters behind the first 253 of the samples."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+    apart = {k: {c: chr(at + 7 * i) for i, c in enumerate("abcdefghij")} for k, at in {"x": 0x6000, "y": 0xB000, "z": 0x20100}.items()}
+
+    def say(lang, n):
+        return " ".join("".join(apart[lang][c] for c in rng.choice(words)) for _ in range(n))
+
+    samples = {k: say(k, 300) for k in apart} | {"many": " ".join(chr(0x4E00 + i) for i in range(3000))}
+    m = langid.Model(samples)
+    assert len({int(m.code[ord(c)]) for t in samples.values() for c in t if c != " "}) == m.letters - 2 > 3000
+    for lang in apart:
+        for k, score in m.predict([say(lang, n) for n in (1, 2, 5, 40, 900)]):
+            assert k == lang and score > 0.9
+    assert m.letters > 256 and len(m.automata[0].key) < 10 * len(samples["many"])  # moves that exist, not states x letters
+
+
 def test_licenses(spark, empty):
     mit = licenses.TEMPLATES["MIT-notice"]
     w = mit.split()
