@@ -4,16 +4,19 @@ Templates and documents are read as lower-case runs of letters and digits. Hashe
 (the smallest of every ``window`` neighbours), and the templates' choices form a small inverted index. A document's
 choices probe it; hits on one template and near one diagonal are one candidate place. There the template is aligned
 with the words around the diagonal inside a band (at most half the template wide), and matches of ``min_coverage`` of the template's words or more are
-reported with their span. The index grows with the templates only; documents are scanned whole, without a shuffle.
+reported with their span. Only diagonals are aligned on which enough words stand inside the band to reach
+``min_coverage``. The index grows with the templates only; documents are scanned whole, without a shuffle.
 
 Null and empty texts have no rows. A text with a template several times has a row for each place; of overlapping
-places of one template the first of the best coverage stays. Repeated rows are reported for each row.
+places, of any templates, the one with the most matched less missing words stays, so that a license is not reported
+by its opening or as a relative. Repeated rows are reported for each row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -22,29 +25,31 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.words import hash_words, slices, windows
 
-#: Short public license notices, in plain text.
+#: Short license lines and opening passages. Wholes (``BSD-3-Clause``), license texts (``-text``) and notices for source
+#: files (``-notice``) are in ``license_texts``, one file each; ``-grant`` and ``-opening`` are the first part of one.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-notice": (
+    "Apache-2.0-grant": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
     ),
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "BSD-opening": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
-    ),
     "MIT": "Released under the MIT License.",
-    "MIT-notice": (
+    "MIT-opening": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in "
         "the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense"
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+for _file in sorted(files("tamarack.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+    _name, _text = _file.name.removesuffix(".txt"), _file.read_text("utf-8")
+    TEMPLATES[_name] = _text
+    if _name.endswith("-notice") and "GPL-" in _name:
+        TEMPLATES[_name.replace("-notice", "-grant")] = _text.split("\n\n")[0]
 
 #: Bytes that separate words: everything in ASCII but letters and digits.
 BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -122,26 +127,46 @@ def places(index: Index, doc_words: np.ndarray, probes: np.ndarray, at: np.ndarr
     for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist(), strict=True):
         for t, q in index.where[a:b].tolist():
             starts.setdefault(t, []).append(p - q)
-    found = []
+    found, have = [], np.unique(doc_words)
     for t, diagonals in starts.items():
-        diagonals.sort()
-        template, best, last = index.words[t], [], None
-        reach = min(band, max(1, len(template) // 2))  # short notices may follow each other closely
-        for d in diagonals:
-            if last is not None and d - last <= reach:
-                continue
-            last = d
+        template = index.words[t]
+        m = len(template)
+        least = min_coverage * m
+        as_array = np.array(template, np.uint64)
+        if len(doc_words) < least or np.isin(as_array, have).sum() < least:
+            continue
+        reach = min(band, max(1, m // 2))  # short notices may follow each other closely
+        near = []  # diagonals with the most words that the band may match
+        for d in sorted(set(diagonals)):
+            most = within(doc_words, as_array, d, reach)
+            if most >= least:
+                near.append((d, most))
+        i = 0
+        while i < len(near):
+            j = i
+            while j < len(near) and near[j][0] - near[i][0] <= reach:
+                j += 1
+            d = max(near[i:j], key=lambda x: x[1])[0]
+            i = j
             lo_word = max(0, d - reach)
-            text = doc_words[lo_word : d + len(template) + reach + 1].tolist()
-            n, first, end = align(text, template, d - lo_word, reach)
-            if n >= min_coverage * len(template):
-                best.append((n, first + lo_word, end + lo_word + 1))
-        taken = -1
-        for n, first, end in sorted(best, key=lambda x: (x[1], -x[0])):
-            if first >= taken:
-                found.append((index.names[t], first, end, n, n / len(template)))
-                taken = end
-    return sorted(found, key=lambda x: (x[1], x[0]))
+            n, first, end = align(doc_words[lo_word : d + m + reach + 1].tolist(), template, d - lo_word, reach)
+            if n >= least:
+                found.append((index.names[t], first + lo_word, end + lo_word + 1, n, n / m))
+    kept: list[tuple] = []
+    for x in sorted(found, key=lambda x: (x[3] / x[4] - 2 * x[3], x[1], x[0])):
+        if all(x[2] <= y[1] or y[2] <= x[1] for y in kept):
+            kept.append(x)
+    return sorted(kept, key=lambda x: (x[1], x[0]))
+
+
+def within(text: np.ndarray, template: np.ndarray, diagonal: int, reach: int) -> int:
+    """How many of the template's words stand in the text at most ``reach`` places off the diagonal."""
+    ok = np.zeros(len(template), bool)
+    for off in range(diagonal - reach, diagonal + reach + 1):
+        a, b = max(0, -off), min(len(template), len(text) - off)
+        if a < b:
+            ok[a:b] |= text[off + a : off + b] == template[a:b]
+    return int(ok.sum())
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = 3, window: int = 3, band: int = 8, min_coverage: float = 0.8) -> DataFrame:

@@ -128,6 +128,26 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_family(spark):
+    """Whole licenses and notices are named as what they are, even with a word changed, and only once."""
+    known = licenses.TEMPLATES
+    wholes = [k for k in known if k.endswith(("-text", "-notice", "-Clause"))] + ["ISC", "Unlicense"]
+    assert len(wholes) > 20 and {"AGPL-3.0-notice", "LGPL-3.0-notice", "GPL-2.0-notice", "BSD-2-Clause", "GPL-2.0-text"} <= set(wholes)
+    rows, want = [], {}
+    for k in wholes:
+        w = known[k].split()
+        for edited in (w, w[: len(w) // 2] + ["odd"] + w[len(w) // 2 + 1 :]):
+            want[len(rows)] = k
+            rows.append((len(rows), f"Some words before. {' '.join(edited)} Some words after."))
+    rows.append((len(rows), known["BSD-opening"]))
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert {i: [r.license for r in got.get(i, [])] for i in want} == {i: [k] for i, k in want.items()}
+    assert all(got[i][0].coverage == 1 for i in want if i % 2 == 0)
+    assert [r.license for r in got[len(rows) - 1]] == ["BSD-opening"]
+
+
 def test_alignment():
     assert licenses.align([9, 1, 2, 3, 9], [1, 2, 3], 0, 2) == (3, 1, 3)
     assert licenses.align([1, 7, 2, 3], [1, 2, 3], 0, 2) == (3, 0, 3)
