@@ -1,8 +1,9 @@
 """License scan: winnowed template fingerprints pick candidates, banded alignment reports what matched (operator 7).
 
 Templates and documents are read as lower-case runs of letters and digits. Hashes of ``k`` such words are winnowed
-(the smallest of every ``window`` neighbours), and the templates' choices form a small inverted index. A document's
-choices probe it; hits on one template and near one diagonal are one candidate place. There the template is aligned
+(the smallest of every ``window`` neighbours), and the templates' choices form a small inverted index. Templates of up to
+``SHORT`` words are indexed by every run of words, of two words where changed words may leave no three together. All
+runs of a document probe the index; hits on one template and near one diagonal are one candidate place. There the template is aligned
 with the words around the diagonal inside a band (at most half the template wide), and matches of ``min_coverage`` of the template's words or more are
 reported with their span. Only diagonals are aligned on which enough words stand inside the band to reach
 ``min_coverage``. The index grows with the templates only; documents are scanned whole, without a shuffle.
@@ -51,6 +52,8 @@ for _file in sorted(files("tamarack.llm").joinpath("license_texts").iterdir(), k
     if _name.endswith("-notice") and "GPL-" in _name:
         TEMPLATES[_name.replace("-notice", "-grant")] = _text.split("\n\n")[0]
 
+#: Templates of up to so many words are indexed by every run.
+SHORT = 64
 #: Bytes that separate words: everything in ASCII but letters and digits.
 BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 SCHEMA = "doc_id bigint, license string, start_word bigint, end_word bigint, matched_words int, coverage double"
@@ -98,35 +101,48 @@ def align(text: list[int], template: list[int], offset: int, band: int) -> tuple
 
 @dataclass
 class Index:
-    """Templates as word hashes, and an inverted index of their winnowed fingerprints."""
+    """Templates as word hashes, and an inverted index of their fingerprints."""
 
     names: list[str]
     words: list[list[int]]
-    keys: np.ndarray  # sorted fingerprints
-    where: np.ndarray  # template and position of each
+    grams: dict[int, tuple[np.ndarray, np.ndarray]]  # by words in a run: sorted fingerprints; template and position of each
 
 
-def build(templates: dict[str, str], k: int, window: int) -> Index:
-    names, words, keys, where = sorted(templates), [], [], []
+def surviving(m: int, min_coverage: float) -> int:
+    """Words that stay together at least somewhere when ``m`` words lose as many as ``min_coverage`` lets them."""
+    lost = int(m - min_coverage * m + 1e-9)
+    return -(-(m - lost) // (lost + 1))
+
+
+def build(templates: dict[str, str], k: int, window: int, min_coverage: float) -> Index:
+    names, words = sorted(templates), []
+    found: dict[int, list[tuple]] = {}
     for t, name in enumerate(names):
         raw = np.frombuffer(templates[name].encode(), np.uint8)
         w = hash_words(raw, np.array([0, len(raw)]), lower=True, breaks=BREAKS)
+        m = len(w.hash)
         words.append(w.hash.tolist())
-        h, at = windows(w, k)
-        for p in winnow(h, window):
-            keys.append(h[p])
-            where.append((t, int(at[p])))
-    by = np.argsort(np.array(keys, np.uint64), kind="stable")
-    return Index(names, words, np.array(keys, np.uint64)[by], np.array(where, np.int64).reshape(-1, 2)[by])
-
-
-def places(index: Index, doc_words: np.ndarray, probes: np.ndarray, at: np.ndarray, band: int, min_coverage: float) -> list[tuple]:
-    """Matches in one document: ``(template, first word, last word + 1, matched words, coverage)``."""
-    lo, hi = np.searchsorted(index.keys, probes, "left"), np.searchsorted(index.keys, probes, "right")
+        run = max(1, min(k, surviving(m, min_coverage))) if m <= SHORT else k
+        h, at = windows(w, run)
+        for p in range(len(h)) if m <= SHORT else winnow(h, window):
+            found.setdefault(run, []).append((int(h[p]), t, int(at[p])))
+    grams = {}
+    for run, rows in found.items():
+        rows.sort()
+        grams[run] = np.array([r[0] for r in rows], np.uint64), np.array([r[1:] for r in rows], np.int64)
+    return Index(names, words, grams)
+
+
+def places(index: Index, doc_words: np.ndarray, hits: list[tuple[int, np.ndarray, np.ndarray]], band: int, min_coverage: float) -> list[tuple]:
+    """Matches in one document: ``(template, first word, last word + 1, matched words, coverage)``. ``hits``: of each
+    length of runs, the hashes that the index has and their places."""
     starts: dict[int, list[int]] = {}
-    for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist(), strict=True):
-        for t, q in index.where[a:b].tolist():
-            starts.setdefault(t, []).append(p - q)
+    for run, probes, at in hits:
+        keys, where = index.grams[run]
+        lo, hi = np.searchsorted(keys, probes, "left"), np.searchsorted(keys, probes, "right")
+        for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            for t, q in where[a:b].tolist():
+                starts.setdefault(t, []).append(p - q)
     found, have = [], np.unique(doc_words)
     for t, diagonals in starts.items():
         template = index.words[t]
@@ -174,23 +190,23 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = 3, w
     chosen = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = build(chosen, k, window)
+        index = build(chosen, k, window, min_coverage)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             rows = []
             for base, w in slices(batch.column("text"), lower=True, breaks=BREAKS):
-                h, at = windows(w, k)
-                doc = w.doc[at]
-                ok = np.isin(h, index.keys)
-                if not ok.any():
-                    continue
-                first = np.searchsorted(doc, np.arange(w.docs + 1))
-                for d in np.unique(doc[ok]):
-                    a, b = first[d], first[d + 1]
-                    p = a + winnow(h[a:b], window)
-                    p = p[ok[p]]
-                    begin = w.first[d]
-                    for name, s, e, n, c in places(index, w.hash[begin : w.first[d + 1]], h[p], at[p] - begin, band, min_coverage):
+                hits: dict[int, list] = {}
+                for span, (keys, _) in index.grams.items():
+                    h, at = windows(w, span)
+                    ok = np.isin(h, keys)
+                    if not ok.any():
+                        continue
+                    h, at = h[ok], at[ok]
+                    docs_hit, first = np.unique(w.doc[at], return_index=True)
+                    for d, a, b in zip(docs_hit.tolist(), first.tolist(), [*first.tolist()[1:], len(h)], strict=True):
+                        hits.setdefault(d, []).append((span, h[a:b], at[a:b] - w.first[d]))
+                for d, found in sorted(hits.items()):
+                    for name, s, e, n, c in places(index, w.hash[w.first[d] : w.first[d + 1]], found, band, min_coverage):
                         rows.append((ids[base + d], name, s, e, n, c))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _SHAPE, strict=True)], schema=_SHAPE)

@@ -148,6 +148,25 @@ def test_license_family(spark):
     assert [r.license for r in got[len(rows) - 1]] == ["BSD-opening"]
 
 
+def test_license_edits(spark):
+    """Short templates are found with one word changed, wherever it is."""
+    rows, want = [], {}
+    for k, v in licenses.TEMPLATES.items():
+        raw = np.frombuffer(v.encode(), np.uint8)
+        w = licenses.hash_words(raw, np.array([0, len(raw)]), True, licenses.BREAKS)
+        words = [raw[a:b].tobytes().decode() for a, b in zip(w.start, w.end, strict=True)]
+        if 5 <= len(words) <= 20:
+            for i in range(len(words)):
+                want[len(rows)] = (k, len(words) - 1)
+                rows.append((len(rows), f"here it is {' '.join([*words[:i], 'odd', *words[i + 1 :]])} and on"))
+    got = {r.doc_id: (r.license, r.matched_words) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(rows) > 50
+    # In these two the changed word is what tells one license line from the other.
+    same = {"CC-BY-NC-4.0", "CC-BY-SA-4.0"}
+    assert {i: v for i, v in got.items() if want[i][0] not in same} == {i: v for i, v in want.items() if v[0] not in same}
+    assert all(got[i][1] == n and got[i][0] in same for i, (k, n) in want.items() if k in same)
+
+
 def test_alignment():
     assert licenses.align([9, 1, 2, 3, 9], [1, 2, 3], 0, 2) == (3, 1, 3)
     assert licenses.align([1, 7, 2, 3], [1, 2, 3], 0, 2) == (3, 0, 3)
