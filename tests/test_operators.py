@@ -220,3 +220,11 @@ def test_sinks(spark, tmp_path):
     sinks.quarantine_jsonl(df.where("i < 0"), str(tmp_path / "q"))
     assert not (tmp_path / "q").exists()
     assert sinks.snapshot(df, str(tmp_path), "s") != sinks.snapshot(df, str(tmp_path), "s")
+
+
+def test_retry_range(spark):
+    """The range is the caller's: to the last index it covers the whole table."""
+    rows = spark.createDataFrame([(i, i, "complete" if i == 1999 else "retryable", 5000.0 - i) for i in range(2000)], "row_id int, source_row_index int, state string, not_before double")
+    assert [ledger.next_retry(rows, a, b).first().next_retry for a, b in ((0, 1000), (0, 1999), (1500, 1600), (1999, 1999))] == [4000.0, 3002.0, 3400.0, None]
+    assert [r.row_id for r in ledger.eligible(rows, 3500.0, 0, 1999, 50).collect()] == list(range(1500, 1550))
+    assert ledger.eligible(rows, 3500.0, 0, 1000, 50).count() == 0
