@@ -3,7 +3,7 @@
 Each stage takes what its predecessor kept, is written as Parquet and read again by the next:
 
 1. toxicity: documents that the calibrated trees call toxic go.
-2. language ID: documents whose language cannot be told (no letters, or too even a race) go.
+2. language ID: documents without a letter, whose language cannot be told, go.
 3. n-gram Jaccard join: of each component of near duplicates the document with the smallest doc_id stays.
 4. substring dedup: words under repeated windows of 35 words are removed from the texts.
 5. best-fit packing: what is left is packed into sequences of at most 4096 tokens.
@@ -20,8 +20,6 @@ from tamarack.sources.tables import table
 from tamarack.storage import durable
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text whose best language has less than this share of the evidence is not kept.
-LEAST_LANGUAGE_SCORE = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +29,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that stands out."""
+    """Documents with a language. Two that are equally near are no reason to drop a text, so the score is not asked."""
     found = langid.identify(docs.select(*COLUMNS), langid.fit(docs), keep_text=True)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+    return found.where("lang_pred != 'und'").select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

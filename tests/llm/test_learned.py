@@ -237,6 +237,16 @@ def test_pipeline(spark, tmp_path):
     assert ids["best_fit_packing"] == ids["substring_dedup"]
 
 
+def test_pipeline_keeps_languages(spark):
+    """Documents with a letter stay, also short ones and ones whose languages tie."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    words = ["This.", "Re.", "De.", "a", "e", "No", "s n", "1 2 3", "..."]
+    odd = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(words)], docs.schema)
+    both = docs.unionByName(odd).cache()
+    want = {r.doc_id for r in both.collect() if r.text and any(c.isalpha() for c in r.text)}
+    assert {r.doc_id for r in corpus_pipeline.keep_known_language(spark, both, SMALL).collect()} == want >= {-1, -7}
+
+
 def test_pipeline_odd(docs, empty, spark):
     plain = docs.select(*corpus_pipeline.COLUMNS)
     for _, stage in corpus_pipeline.STAGES:
