@@ -8,8 +8,11 @@ together. Case is folded; runs of anything but letters count as one blank. Every
 code, of whatever script; only letters in no sample share one. Automata keep the moves that exist, sorted, so their
 size follows the sample and not the number of letters.
 
-The sample per language is bounded by ``docs_per_language`` and ``chars_per_language`` and the languages by
-``max_languages`` (the most frequent), so the model does not grow with the corpus. Null texts and texts without a
+Every labelled language is learned. The sample per language is bounded by ``docs_per_language`` and
+``chars_per_language``, so the model grows with the number of languages only. The documents drawn share the characters:
+short ones are taken whole and the others give a span of one length, from anywhere in the text, so few long documents
+teach as much as many. Only a language whose drawn documents are shorter together has a smaller sample, which tells
+against it, as phrases are not corrected for the size of a sample. Null texts and texts without a
 letter are ``und`` with score 0, as is everything when no language was learned. Ties go to the alphabetically
 first language. Held out is every row whose crc32(doc_id as text) mod 4 is 2.
 """
@@ -164,20 +167,28 @@ def model(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(dict(samples))
 
 
-def fit(docs: DataFrame, docs_per_language: int = 120, chars_per_language: int = 30_000, max_languages: int = 64) -> tuple[tuple[str, str], ...]:
+def fit(docs: DataFrame, docs_per_language: int = 120, chars_per_language: int = 30_000) -> tuple[tuple[str, str], ...]:
     """Sample of labelled text per language, from rows that are not held out."""
     rows = docs.where("lang is not null and text is not null").where(~held_out())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    if not counts:
-        return ()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     # Rows are drawn by a hash of doc_id at a rate per language, so no language is sorted as a whole.
-    u = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.create_map(*[F.lit(v) for r in counts for v in (r.lang, min(1.0, 2.0 * docs_per_language / r.n))])
-    span = 2 * chars_per_language // docs_per_language
-    drawn = rows.where(u < rate[F.col("lang")]).select("lang", u.alias("u"), "doc_id", F.substring("text", 1, span).alias("part"))
+    u, place = (F.pmod(F.xxhash64("doc_id", F.lit(v)), F.lit(1 << 30)) / float(1 << 30) for v in ("sample", "place"))
+    rated = rows.join(F.broadcast(counts), "lang").where(u < F.least(F.lit(1.0), 2.0 * docs_per_language / F.col("n")))  # a row per language
+
+    def span(text: str, size):
+        return F.substring(F.col(text), (F.floor(place * (F.greatest(F.length(text) - size, F.lit(0)) + 1)) + 1).cast("int"), size.cast("int"))
+
+    drawn = rated.select("lang", u.alias("u"), "doc_id", span("text", F.lit(chars_per_language)).alias("part"))
     at = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id", "part"))
+    drawn = drawn.withColumn("at", at).where(F.col("at") <= docs_per_language).withColumn("size", F.length("part"))
+    # What is left for each document when all shorter ones are whole; it is largest where that stops to fit.
+    shorter = Window.partitionBy("lang").orderBy("size", "at")
+    before = F.coalesce(F.sum("size").over(shorter.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    of = Window.partitionBy("lang")
+    share = F.ceil((chars_per_language - before) / (F.count("*").over(of) - F.row_number().over(shorter) + 1))
+    drawn = drawn.withColumn("share", share).withColumn("share", F.max("share").over(of))
     found: dict[str, list] = {}
-    for r in drawn.withColumn("at", at).where(F.col("at") <= docs_per_language).select("lang", "at", "part").collect():  # bounded by all three parameters
+    for r in drawn.select("lang", "at", span("part", F.col("share")).alias("part")).collect():  # bounded by both parameters a language
         found.setdefault(r.lang, []).append((r.at, r.part))
     return tuple((k, "\n".join(t for _, t in sorted(v))[:chars_per_language]) for k, v in sorted(found.items()))
 

@@ -109,6 +109,17 @@ def test_many_letters():
     assert m.letters > 256 and len(m.automata[0].key) < 10 * len(samples["many"])  # moves that exist, not states x letters
 
 
+def test_language_samples(spark):
+    """Few long documents give as much as many, from anywhere in the text, and all languages are learned."""
+    keep = [i for i in range(2000) if not held(i)]
+    text = "".join(chr(0x4E00 + i) for i in range(20_000))
+    rows = [(keep[i], text, "few") for i in range(2)] + [(keep[2 + i], "word " * 200, "many") for i in range(150)] + [(keep[200], "short", "mixed"), (keep[201], "x" * 50_000, "mixed")]
+    rows += [(keep[300 + i], f"text {i}", f"l{i:03d}") for i in range(90)]
+    got = dict(langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), chars_per_language=30_000))
+    assert len(got) == 93 and {k: len(got[k]) for k in ("few", "many", "mixed")} == {"few": 30_000, "many": 30_000, "mixed": 30_000}
+    assert any(not part.startswith(text[:100]) for part in got["few"].split("\n")) and got["l089"] == "text 89"
+
+
 def test_licenses(spark, empty):
     mit = licenses.TEMPLATES["MIT-notice"]
     w = mit.split()
