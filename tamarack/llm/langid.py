@@ -167,7 +167,7 @@ def model(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(dict(samples))
 
 
-def fit(docs: DataFrame, docs_per_language: int = 120, chars_per_language: int = 30_000) -> tuple[tuple[str, str], ...]:
+def fit(docs: DataFrame, docs_per_language: int = 120, chars_per_language: int = 40_000) -> tuple[tuple[str, str], ...]:
     """Sample of labelled text per language, from rows that are not held out."""
     rows = docs.where("lang is not null and text is not null").where(~held_out())
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
