@@ -20,7 +20,6 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.words import tidy
+from tamarack.llm.words import held, tidy
 
 #: Words of more characters are looked at for unsplit runs.
 LONG_WORD = 512
@@ -190,10 +189,9 @@ class Codec:
         return self.tokenizer.decode([int(i) for i in ids], skip_special_tokens=False)
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    """One codec per worker process and file."""
-    return Codec(path)
+    """One codec per worker process and file, as long as no other operator needs the worker."""
+    return held("codec", path, lambda: Codec(path))
 
 
 def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callable[[list], list[tuple]]], step: int = 256, keep_text: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm import exchange as X
-from tamarack.llm.words import Words, slices, tidy, windows
+from tamarack.llm.words import Words, let_go, slices, windows
 
 #: Bits of a block hash that travel beside its bucket: false hits are rare and only cost work.
 HIT_BITS = 32
@@ -42,7 +42,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 def _send(parts: list[np.ndarray], blocks: list[np.ndarray] | None, chunk: int, bits: int, width: int) -> pa.Table:
     """A chunk's keys, one row per bucket: distinct keys, those it has twice, those at block starts."""
-    tidy()
+    let_go()
     keys, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
     twice = keys[n > 1]
     anchors = np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
@@ -60,7 +60,7 @@ def _match(anchored: bool):
     """Which keys of a bucket occur twice (and start a block somewhere): back to each chunk that has them."""
 
     def match(table):
-        tidy()
+        let_go()
         chunks = table.column("chunk").to_pylist()
         keys = [X.unpack(k) for k in table.column("keys").to_pylist()]
         twice = [X.unpack(k) for k in table.column("twice").to_pylist()]
@@ -142,7 +142,7 @@ def repeated_words(docs: DataFrame, window: int = 35, keep_text: bool = False, k
     names = [*keep, "n_words", "n_removed", "kept_sha256", *(["kept_text"] if keep_text else [])]
 
     def cut(key, table, back):
-        tidy()
+        let_go()
         found = _found(back)
         rows: list[tuple] = []
         column = table.column("text")

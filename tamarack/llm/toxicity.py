@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.bpe import map_texts
+from tamarack.llm.words import let_go
 from tamarack.storage import durable
 
 #: Second-person words of the four languages of the corpus.
@@ -187,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> tuple
     def make():
         return lambda texts: [(features(t, *halves[0]), features(t, *halves[1])) for t in texts]
 
-    got = map_texts(train, "text", "f0 array<double>, f1 array<double>", make).limit(2 * max_labelled).collect()  # a dozen numbers each
+    got = map_texts(train, "text", "f0 array<double>, f1 array<double>", make).collect()  # two dozen numbers for each drawn row; all rows of a drawn doc_id
     if not got:
         return None
     x = np.array([r.f1 if r.half == 0 else r.f0 for r in got])
@@ -210,6 +211,7 @@ def score(docs: DataFrame, model: tuple[dict, dict, Trees] | None, threshold: fl
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
     def make():
+        let_go()
         if shared.value is None:
             return lambda texts: [(0.0, 0)] * len(texts)
         words, stems, trees = shared.value

@@ -25,18 +25,35 @@ try:
     _libc = ctypes.CDLL("libc.so.6")
 except OSError:  # another C library
     _libc = None
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Bytes or words hashed at a time, so that sums take no more memory than this many numbers.
+BLOCK = 1 << 17
+_FINE = 1 << 10
+_held: dict[str, tuple[object, object]] = {}
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and ``base**-i`` modulo 2**64 for i < n."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        m = 1 << (max(n, 1 << 16) - 1).bit_length()
-        up, down = np.full(m, base, np.uint64), np.full(m, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        have = _powers[base] = (np.cumprod(up), np.cumprod(down))
-    return have[0][:n], have[1][:n]
+class Powers:
+    """``base**i`` and ``base**-i`` modulo 2**64 for i < n: products of two short tables, so nothing grows with n but n / 1024."""
+
+    def __init__(self, base: int, n: int):
+        coarse = n // _FINE + 1
+        self.up, self.up_far = self._table(base, _FINE), self._table(pow(base, _FINE, 1 << 64), coarse)
+        back = pow(base, -1, 1 << 64)
+        self.down, self.down_far = self._table(back, _FINE), self._table(pow(back, _FINE, 1 << 64), coarse)
+
+    @staticmethod
+    def _table(base: int, n: int) -> np.ndarray:
+        t = np.full(n, base, np.uint64)
+        t[0] = 1
+        return np.cumprod(t)
+
+    def ups(self, start: int, stop: int) -> np.ndarray:
+        """``base**i`` for i from ``start`` (a multiple of 1024) to ``stop``."""
+        far = self.up_far[start // _FINE : -(-stop // _FINE)]
+        return np.multiply.outer(far, self.up).ravel()[: stop - start]
+
+    def downs(self, at: np.ndarray) -> np.ndarray:
+        """``base**-i`` for i in ``at``."""
+        return self.down_far[at // _FINE] * self.down[at % _FINE]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,6 +73,22 @@ def tidy() -> None:
         _libc.malloc_trim(0)
 
 
+def held(name: str, key, make):
+    """What ``make()`` gives, kept for later tasks of this worker under ``name`` as long as ``key`` stays the same. A worker
+    keeps one such thing, so operators that follow each other don't pile up their tables."""
+    have = _held.get(name)
+    if have is None or have[0] != key:
+        let_go()
+        have = _held[name] = (key, make())
+    return have[1]
+
+
+def let_go() -> None:
+    """Drop what other operators have kept in this worker."""
+    _held.clear()
+    tidy()
+
+
 @dataclass
 class Words:
     """Words of a slice of documents: ``hash``, ``doc`` (index in the slice), byte ``start`` and ``end``."""
@@ -99,10 +132,19 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, break
     end[1:] = solid
     end[1:n] &= ~solid[1:] | begins[1:n]
     s, e = np.flatnonzero(start), np.flatnonzero(end)
-    up, down = powers(BYTE_BASE, n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    h = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+    powers = Powers(BYTE_BASE, n)
+    h, total = np.zeros(len(s), np.uint64), np.uint64(0)
+    for at in range(0, n, BLOCK):  # h becomes the sum over a word's bytes: what is summed at its end less that at its start
+        to = min(n, at + BLOCK)
+        sums = np.cumsum((data[at:to].astype(np.uint64) + np.uint64(1)) * powers.ups(at, to))
+        sums += total
+        i, j = np.searchsorted(s, (at, to))
+        h[i:j] -= np.where(s[i:j] > at, sums[s[i:j] - at - 1], total)
+        i, j = np.searchsorted(e, (at, to), "right")
+        h[i:j] += sums[e[i:j] - at - 1]
+        total = sums[-1]
+    h *= powers.downs(s)
+    h = mix(h + (e - s).astype(np.uint64))
     doc = np.searchsorted(offsets, s, "right") - 1
     # An empty document shares its offset with the next one; "right" gives the last of them, which has the words.
     return Words(h, doc, s, e, data, np.searchsorted(doc, np.arange(len(offsets))))
@@ -113,12 +155,18 @@ def windows(words: Words, n: int, level: int = 0) -> tuple[np.ndarray, np.ndarra
     w, m = words.hash, len(words.hash)
     if m < n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    base = WINDOW_BASES[level]
-    up, down = powers(base, m + 1)
-    sums = np.zeros(m + 1, np.uint64)
-    np.cumsum((w if level == 0 else mix(w + np.uint64(0x632BE59BD9B4E019))) * up[:m], out=sums[1:])
+    sums, powers = word_sums(words, level)
     at = np.flatnonzero(words.doc[: m - n + 1] == words.doc[n - 1 :])
-    return mix((sums[at + n] - sums[at]) * down[at]), at
+    return mix((sums[at + n] - sums[at]) * powers.downs(at)), at
+
+
+def word_sums(words: Words, level: int = 0) -> tuple[np.ndarray, Powers]:
+    """Prefix sums of word hashes times powers: the difference of two, times ``downs`` of the first, names a run of words."""
+    w, m = words.hash, len(words.hash)
+    powers, sums = Powers(WINDOW_BASES[level], m), np.zeros(m + 1, np.uint64)
+    np.multiply(w if level == 0 else mix(w + np.uint64(0x632BE59BD9B4E019)), powers.ups(0, m), out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
+    return sums, powers
 
 
 def slices(texts: pa.Array, size: int = 1 << 20, lower: bool = False, breaks: np.ndarray = SPACE) -> Iterator[tuple[int, Words]]:
