@@ -5,8 +5,8 @@ greedily: the longest match from here is one phrase, and the next phrase starts
 character a language needs, the closer the text is to it; the fewest win. Texts are parsed whole, in stretches of
 ``STRETCH`` characters that each begin a new phrase, so thousands of stretches step through the automaton's moves
 together. Case is folded; runs of anything but letters count as one blank. Every letter of the samples has its own
-code, of whatever script; only letters in no sample share one. Automata keep the moves that exist, sorted, so their
-size follows the sample and not the number of letters.
+code, of whatever script; only letters in no sample share one. Automata keep only the moves that exist, in a hash
+table, so their size follows the sample and not the number of letters.
 
 Every labelled language is learned. The sample per language is bounded by ``docs_per_language`` and
 ``chars_per_language``, so the model grows with the number of languages only. The documents drawn share the characters:
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.llm.bpe import map_texts
+from tamarack.llm.words import held
 
 STRETCH = 1024
 #: How many characters of a text's phrase rate make one unit of evidence.
@@ -41,17 +42,41 @@ def held_out(doc_id: str = "doc_id"):
 
 @dataclass
 class Automaton:
-    """Moves of a suffix automaton: ``key`` (state * letters + code) is sorted, ``to`` is next state * letters * 2 +
-    phrase begun. Where a state has no move for a code, ``root`` of the code holds and begins a phrase."""
+    """Moves of a suffix automaton in an open hash table: ``key`` is state * letters + code, or -1 in a free place, and
+    ``to`` next state * letters * 2 + phrase begun. Where a state has no move for a code, ``root`` of the code holds and
+    begins a phrase."""
 
     key: np.ndarray
     to: np.ndarray
     root: np.ndarray
+    shift: int
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(self.shift)).astype(np.int64)
+
+    def put(self, keys: np.ndarray, to: np.ndarray) -> None:
+        """Enter moves; each goes to the first free place from its own on."""
+        at = self._place(keys)
+        while len(keys):
+            free = self.key[at] < 0
+            self.key[at[free]] = keys[free]  # of several that want a place the last one has it
+            won = self.key[at] == keys
+            self.to[at[won]] = to[won]
+            keys, to, at = keys[~won], to[~won], (at[~won] + 1) % len(self.key)
 
     def move(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
         want = state + codes
-        at = np.searchsorted(self.key, want)
-        return np.where(self.key[at] == want, self.to[at], self.root[codes])
+        at = self._place(want)
+        have = self.key[at]
+        out = np.where(have == want, self.to[at], self.root[codes])
+        more = np.flatnonzero((have != want) & (have >= 0))
+        while len(more):
+            at[more] = (at[more] + 1) % len(self.key)
+            have = self.key[at[more]]
+            hit = have == want[more]
+            out[more[hit]] = self.to[at[more[hit]]]
+            more = more[~hit & (have >= 0)]
+        return out
 
 
 def automaton(codes: list[int], letters: int) -> Automaton:
@@ -85,9 +110,12 @@ def automaton(codes: list[int], letters: int) -> Automaton:
     root = np.ones(letters, kind)
     for c, to in moves[0].items():
         root[c] = to * letters * 2 + 1
-    key = np.array([s * letters + c for s, out in enumerate(moves) for c in sorted(out)] + [len(moves) * letters], kind)  # and an end
-    to = np.array([out[c] * letters * 2 + (s == 0) for s, out in enumerate(moves) for c in sorted(out)] + [1], kind)
-    return Automaton(key, to, root)
+    key = np.array([s * letters + c for s, out in enumerate(moves) for c in out], kind)
+    to = np.array([t * letters * 2 + (s == 0) for s, out in enumerate(moves) for t in out.values()], kind)
+    bits = max(4, (4 * len(key)).bit_length())
+    table = Automaton(np.full(1 << bits, -1, kind), np.zeros(1 << bits, kind), root, 64 - bits)
+    table.put(key, to)
+    return table
 
 
 class Model:
@@ -161,10 +189,9 @@ def _fold(text: str) -> str:
     return "".join(c if c.isalpha() else " " for c in text.lower())
 
 
-@lru_cache(maxsize=2)
 def model(samples: tuple[tuple[str, str], ...]) -> Model:
-    """One set of automata per worker process and sample."""
-    return Model(dict(samples))
+    """One set of automata per worker process and sample, as long as no other operator needs the worker."""
+    return held("langid", samples, lambda: Model(dict(samples)))
 
 
 def fit(docs: DataFrame, docs_per_language: int = 120, chars_per_language: int = 40_000) -> tuple[tuple[str, str], ...]:
