@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm import jaccard, langid, packing, substring, toxicity
 from tamarack.sources.tables import table
-from tamarack.storage import durable
+from tamarack.storage import durable, release
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -35,15 +35,18 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one that names it."""
-    docs = docs.select(*COLUMNS)
-    named = jaccard.components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(named, "doc_id", "left_semi")
-    # Should rows share a doc_id, one of them stays; rows without a doc_id can't name a group, and one of each text stays.
-    at = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy(F.xxhash64("text", "lang", "source")))
-    nameless = docs.where("doc_id is null").withColumn("_text", F.xxhash64("text"))
-    both = kept.withColumn("_text", F.lit(0).cast("bigint")).unionByName(nameless)
-    return both.withColumn("_at", at).where("_at = 1").select(*COLUMNS)
+    """One document of each component of near duplicates: the one with the smallest doc_id."""
+    # Two hashes of all columns stand for a row, so that texts move once.
+    marked = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("_row"), F.xxhash64(F.lit(1), *COLUMNS).alias("_too"))
+    named = jaccard.components(marked, keep=("_row", "_too"))
+    # A row without a doc_id stands for its component only where no other can; empty sets are linked with nothing.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row", "_too")).alias("least")
+    chosen = named.where("component is not null").groupBy("component").agg(least).select("least._row", "least._too")
+    kept = marked.join(chosen.union(named.where("component is null").select("_row", "_too")).distinct(), ["_row", "_too"], "left_semi")
+    # Of rows that are equal in every column one stays.
+    at = F.row_number().over(Window.partitionBy("_row", "_too").orderBy("_row"))
+    return kept.withColumn("_at", at).where("_at = 1").select(*COLUMNS)
+
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that repeat elsewhere."""
@@ -72,8 +75,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = durable(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        before, docs = docs, durable(stage(spark, docs, sf_dir))
+        release(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
