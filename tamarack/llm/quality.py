@@ -2,11 +2,12 @@
 
 For a slice of documents one suffix array over words is built by prefix doubling, vectorised; the document index
 leads every key, so suffixes never match across documents. Only suffixes that still share their rank are sorted
-again. The ranks of all doubling steps give the longest common prefix of neighbouring suffixes; for the suffix at
-word i the longer of its two neighbours' is the longest repeat that starts there, which is the depth of its
-deepest LCP interval. The spans of all maximal repeats of ``min_words`` or more are united; a document goes if
+again. Words are compared for the longest common prefix of neighbouring suffixes; for the suffix at word i the longer
+of its two neighbours' is the longest repeat that starts there, which is the depth of its deepest LCP interval. The spans of all maximal repeats of ``min_words`` or more are united; a document goes if
 they cover more than ``max_fraction`` of its words or one is longer than ``max_longest`` words.
 
+Memory is linear in the slice, or in a text that is longer than a slice: about 20 bytes for each of its bytes.
+
 Null and empty texts have no words, so all counts are 0 and the base rule fails them. Repeated rows are judged
 alike, and only within a text do repeats count. Extra columns are not read.
 """
@@ -21,74 +22,105 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.words import Words, slices
+from tamarack.llm.words import Words, let_go, slices
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 
-def suffix_ranks(words: Words) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... words; the last level's are final.
+def suffix_order(words: Words) -> np.ndarray:
+    """All suffixes in order: by document, then word by word up to the document's end.
 
     A rank is the number of smaller suffixes, so ranks of settled suffixes never change again.
     """
     n = len(words.hash)
-    stop = words.first[words.doc + 1]
-    order = np.lexsort((words.hash, words.doc))
+    kind = np.int32 if n < 1 << 31 else np.int64
+    order = np.lexsort((words.hash, words.doc)).astype(kind)
     new = np.ones(n, bool)
     new[1:] = (words.hash[order[1:]] != words.hash[order[:-1]]) | (words.doc[order[1:]] != words.doc[order[:-1]])
-    starts = np.flatnonzero(new)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
-    levels, k = [rank], 1
-    sizes = np.diff(np.append(starts, n))
-    active = order[np.repeat(sizes > 1, sizes)]
+    starts = np.flatnonzero(new).astype(kind)
+    sizes = np.diff(starts, append=kind(n))
+    rank = np.empty(n, kind)
+    rank[order] = np.repeat(starts, sizes)
+    active, k = order[np.repeat(sizes > 1, sizes)], 1
+    del new, starts, sizes
     while len(active):
-        ahead = active + k
-        inside = ahead < stop[active]
-        second = np.where(inside, rank[np.where(inside, ahead, 0)], -1)
-        first = rank[active]
-        by = np.lexsort((second, first))
-        active, first, second = active[by], first[by], second[by]
+        ahead = active + kind(k)
+        inside = np.flatnonzero(ahead < words.first[words.doc[active] + 1])
+        both = rank[active].astype(np.int64) * (n + 1)
+        both[inside] += rank[ahead[inside]] + np.int64(1)  # 0 where the document ends
+        del ahead, inside
+        by = np.argsort(both)
+        active, both = active[by], both[by]
+        del by
         m = len(active)
-        head = np.ones(m, bool)
-        head[1:] = first[1:] != first[:-1]
-        cut = head.copy()
-        cut[1:] |= second[1:] != second[:-1]
-        at, heads = np.flatnonzero(cut), np.flatnonzero(head)
-        sizes = np.diff(np.append(at, m))
-        begin = np.repeat(heads, np.diff(np.append(heads, m)))  # where the old class begins
-        rank = rank.copy()
-        rank[active] = first + np.repeat(at, sizes) - begin
-        levels.append(rank)
+        cut, head = np.ones(m, bool), np.ones(m, bool)
+        cut[1:] = both[1:] != both[:-1]
+        both //= n + 1
+        head[1:] = both[1:] != both[:-1]
+        del both
+        at, heads = np.flatnonzero(cut), np.flatnonzero(head)  # where new and old classes begin
+        old = np.repeat(heads, np.diff(heads, append=m))
+        sizes = np.diff(at, append=m)
+        rank[active] += (np.repeat(at, sizes) - old).astype(kind)
+        del old
+        order[rank[active[at]]] = active[at]
         active = active[np.repeat(sizes > 1, sizes)]
         k *= 2
-    return levels
+    order[rank] = np.arange(n, dtype=kind)
+    return order
+
+
+def matches(w: np.ndarray, i: np.ndarray, j: np.ndarray, limit: np.ndarray, together: int = 32) -> np.ndarray:
+    """How many words agree from ``i`` and from ``j`` on, at most ``limit``; all pairs together first, long ones by blocks."""
+    n = np.zeros(len(i), np.int64)
+    left = np.flatnonzero(limit > 0)
+    for _ in range(together):
+        left = left[w[i[left] + n[left]] == w[j[left] + n[left]]]
+        n[left] += 1
+        left = left[n[left] < limit[left]]
+        if not len(left):
+            return n
+    for x in left.tolist():
+        a, b, at, end, block = int(i[x]), int(j[x]), together, int(limit[x]), 64
+        while at < end:
+            to = min(end, at + block)
+            differ = w[a + at : a + to] != w[b + at : b + to]
+            if differ.any():
+                at += int(differ.argmax())
+                break
+            at, block = to, min(2 * block, 1 << 20)
+        n[x] = at
+    return n
 
 
 def longest_repeats(words: Words) -> np.ndarray:
-    """For each word, the length of the longest run of words from it that also starts elsewhere in its document."""
+    """For each word, the length of the longest run of words from it that also starts elsewhere in its document.
+
+    A suffix and the one before it in order share one word less than the pair one word to the left, if that pair starts
+    with one word too. So only pairs that don't are compared, which is no more than n log n words in all.
+    """
     n = len(words.hash)
     out = np.zeros(n, np.int64)
     if n < 2:
         return out
-    levels = suffix_ranks(words)
-    order = np.empty(n, np.int64)
-    order[levels[-1]] = np.arange(n)
-    stop = words.first[words.doc + 1]
-    a, b = order[:-1], order[1:]
-    common = np.zeros(n - 1, np.int64)
-    alive = np.flatnonzero(levels[0][a] == levels[0][b])  # others share no word
-    for level in range(len(levels) - 1, -1, -1):
-        x, y = a[alive] + common[alive], b[alive] + common[alive]
-        inside = (x < stop[a[alive]]) & (y < stop[b[alive]])
-        same = np.zeros(len(alive), bool)
-        i = np.flatnonzero(inside)
-        same[i] = levels[level][x[i]] == levels[level][y[i]]
-        common[alive[same]] += 1 << level
-    out[order[:-1]] = common
-    np.maximum.at(out, order[1:], common)
+    order, w = suffix_order(words), words.hash
+    j, i = order[:-1], order[1:]
+    same = (w[i] == w[j]) & (words.doc[i] == words.doc[j])  # others share no word
+    i, j = i[same], j[same]
+    start, stop = words.first[words.doc[i]], words.first[words.doc[i] + 1]
+    follows = (i > start) & (j > start)
+    follows[follows] = w[i[follows] - 1] == w[j[follows] - 1]
+    known = np.ones(n, bool)
+    known[i[follows]] = False
+    i, j, stop = i[~follows], j[~follows], stop[~follows]
+    common = np.zeros(n, np.int64)
+    common[i] = matches(w, i, j, stop - np.maximum(i, j))
+    last = np.maximum.accumulate(np.where(known, np.arange(n), 0))
+    common = common[last] - (np.arange(n) - last)
+    out[:] = common
+    out[order[:-1]] = np.maximum(common[order[:-1]], common[order[1:]])
     return out
 
 
@@ -122,6 +154,7 @@ def judge(docs: DataFrame, min_words: int = 8, max_fraction: float = 0.4, max_lo
     names = [f.split(" ")[0] for f in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for at, w in slices(texts):

@@ -145,7 +145,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, break
         total = sums[-1]
     h *= powers.downs(s)
     h = mix(h + (e - s).astype(np.uint64))
-    doc = np.searchsorted(offsets, s, "right") - 1
+    doc = (np.searchsorted(offsets, s, "right") - 1).astype(np.int32)
     # An empty document shares its offset with the next one; "right" gives the last of them, which has the words.
     return Words(h, doc, s, e, data, np.searchsorted(doc, np.arange(len(offsets))))
 
