@@ -1,15 +1,19 @@
 """Byte-pair encoding and decoding of whole texts with a published vocabulary (operator 5).
 
-Tree concatenation. Text that the vocabulary's own splitter leaves whole (a run of letters without a break)
-is cut into leaves; the leaves are encoded together by the library, in parallel where its threads are on.
-Neighbouring halves are then joined pairwise up a tree: a window of tokens around the join is re-encoded and
-grown until its first token equals the left half's token there and its last token the right half's. From there
-outwards every neighbouring pair of tokens was adjacent in a correct encoding already, and an encoding whose
-neighbouring pairs are all correct is the encoding, so the joined ids are exactly the library's.
+Tree concatenation. A text is cut into leaves of some 2,000 characters, which are encoded independently of each other.
+Neighbouring halves are then joined pairwise up a tree: the words next to the join are encoded again as one window by
+the library, and the window grows until its first token is the left half's there and its last the right half's; then the
+window's tokens stand for both sides'. All joins of a level, over all texts of a batch, are one call of the library,
+which encodes them in parallel where a task has several cores (``spark.task.cpus``).
 
-Everything else repeats: most words of a text were seen before, so ids of white-space separated words are kept
-in a bounded table per worker, and only unseen words go through the library. Texts in which a word's ids could
-depend on its neighbours (special-token strings, the separators U+001C-U+001F) go through the library whole.
+Leaves end at white space, unless there is none: a run of more than ``LONG_WORD`` characters that the vocabulary's own
+splitter leaves whole is cut into leaves of ``LEAF`` characters, and joined by the same rule on its tokens. From a window
+outwards every neighbouring pair of tokens was adjacent in a correct encoding already, and an encoding whose neighbouring
+pairs are all correct is the encoding, so the joined ids are exactly the library's.
+
+Within a leaf most words were seen before, so ids of words are kept in a bounded table per worker, and only unseen words
+go through the library. Texts in which a word's ids could depend on its neighbours (special-token strings, the separators
+U+001C-U+001F) are one leaf that the library encodes.
 
 Null texts count as empty, empty texts have no ids, repeated rows are encoded alike, other columns pass through.
 """
@@ -18,13 +22,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,25 +39,45 @@ from tamarack.llm.words import held, tidy
 
 #: Words of more characters are looked at for unsplit runs.
 LONG_WORD = 512
-#: Characters in a leaf of the tree.
-LEAF = 128
+#: Characters in a leaf of a long word, and in one of a text.
+LEAF, TEXT_LEAF = 128, 2048
+#: Leaves of a text whose words are looked up together.
+TOGETHER = 32
+#: Bytes of texts that are encoded together.
+BATCH = 1 << 20
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 400_000
 #: The byte-level alphabet: printable bytes stand for themselves, the others for characters from U+0100 on; spaces stay.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SYMBOLS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)} | {32: " "}
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
+_BLANK = re.compile(r"\s")
 
 
 def _library():
     import os
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    task = TaskContext.get()
+    cores = task.cpus() if task else 1
+    os.environ.setdefault("RAYON_NUM_THREADS", str(cores))
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "true" if cores > 1 else "false")
     import tokenizers
 
     return tokenizers
 
 
+@dataclass
+class Half:
+    """A stretch of a text with its ids: the words at its ends, and how many bytes of ids they have (-1: not known apart)."""
+
+    text: str
+    ids: bytes
+    first: str = ""
+    last: str = ""
+    n_first: int = -1
+    n_last: int = -1
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file of the ``tokenizers`` library."""
 
@@ -60,6 +87,7 @@ class Codec:
         self.tokenizer.no_padding()
         self.kept_words, self.long_word, self.leaf = kept_words, long_word, max(2, leaf)
         self.packed: dict[str, bytes] = {}
+        self.joins = 0
         self.tails: dict[str, bytes] = {}
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -75,11 +103,62 @@ class Codec:
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text (little-endian unsigned 32-bit), equal to :meth:`whole`."""
-        if not text:
-            return np.zeros(0, "<u4")
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text: leaves, then all joins of a level at once until every text is whole."""
+        trees = [self._leaves(t) if t else [] for t in texts]
+        while any(len(t) > 1 for t in trees):
+            pairs = [(t[i], t[i + 1]) for t in trees for i in range(0, len(t) - 1, 2)]
+            joined = iter(self._join_all(pairs))
+            trees = [[next(joined) if i + 1 < len(t) else t[i] for i in range(0, len(t), 2)] for t in trees]
+        return [np.frombuffer(t[0].ids if t else b"", "<u4") for t in trees]
+
+    def _leaves(self, text: str) -> list[Half]:
         if any(s in text for s in self.special) or any(c in text for c in _SEPARATORS):
-            return self.whole(text)
-        words, known = text.split(), self.packed
+            return [Half(text, self.whole(text).tobytes())]
+        parts, at = [], 0
+        while at < len(text):
+            blank = _BLANK.search(text, at + TEXT_LEAF)
+            to = blank.start() if blank else len(text)
+            parts.append(text[at:to])
+            at = to
+        out = []
+        for i in range(0, len(parts), TOGETHER):
+            words = [p.split() for p in parts[i : i + TOGETHER]]
+            ids = self._ids(list(chain.from_iterable(words)))
+            at = 0
+            for part, w in zip(parts[i : i + TOGETHER], words, strict=True):
+                if w:
+                    mine = ids[at : at + len(w)]
+                    at += len(w)
+                    out.append(Half(part, b"".join(mine), w[0], w[-1], len(mine[0]), len(mine[-1])))
+        return out
+
+    def _join_all(self, pairs: list[tuple[Half, Half]]) -> list[Half]:
+        """Both halves of each pair as one."""
+        self.joins += len(pairs)
+        windows = self.tokenizer.encode_batch_fast([f"{a.last} {b.first}" for a, b in pairs], add_special_tokens=False)
+        return [self._joined(a, b, np.array(w.ids, "<u4").tobytes()) for (a, b), w in zip(pairs, windows, strict=True)]
+
+    def _joined(self, a: Half, b: Half, window: bytes, reach: int = 1) -> Half:
+        """``window``: ids of the ``reach`` words before the join and as many after it, as one text."""
+        left, right = (a.ids[len(a.ids) - a.n_last :], b.ids[: b.n_first]) if a.n_last > 0 and b.n_first > 0 else (b"", b"")
+        while True:
+            if left and right and window == left + right:  # nothing changes at the join
+                return Half(a.text + b.text, a.ids + b.ids, a.first, b.last, a.n_first, b.n_last)
+            if left and right and window[:4] == left[:4] and window[-4:] == right[-4:]:
+                return Half(a.text + b.text, a.ids[: len(a.ids) - len(left)] + window + b.ids[len(right) :])
+            reach *= 2
+            before, after = a.text.split()[-reach:], b.text.split()[:reach]
+            window = self.whole(" ".join(before + after)).tobytes()
+            left, right = (b"".join(self._ids(w)) for w in (before, after))
+            if not a.ids.endswith(left) or not b.ids.startswith(right) or len(left) == len(a.ids) or len(right) == len(b.ids):
+                return Half(a.text + b.text, self.whole(a.text + b.text).tobytes())
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word."""
+        known = self.packed
         packed = list(map(known.get, words))
         if None in packed:
             holes = [i for i, p in enumerate(packed) if p is None]
@@ -88,7 +167,7 @@ class Codec:
                 packed[i] = fresh[words[i]]
             if len(known) + len(fresh) <= self.kept_words:
                 known.update(fresh)
-        return np.frombuffer(b"".join(packed), "<u4")
+        return packed
 
     def _learn(self, unseen: list[str]) -> dict[str, bytes]:
         """Packed ids of words."""
@@ -194,9 +273,10 @@ def codec(path: str) -> Codec:
     return held("codec", path, lambda: Codec(path))
 
 
-def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callable[[list], list[tuple]]], step: int = 256, keep_text: bool = False) -> DataFrame:
+def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callable[[list], list[tuple]]], step: int = 256, keep_text: bool = False, size: int = 8 << 20) -> DataFrame:
     """Append columns computed from whole texts. ``make()`` runs once per task and gives a function that
-    takes a list of texts (None for null) and returns one tuple per text. The text itself goes unless kept."""
+    takes a list of texts (None for null) and returns one tuple per text: at most ``step`` texts of about ``size`` bytes
+    at once, or one longer text. The text itself goes unless kept."""
     fields = df.select(*[F.lit(None).cast(t).alias(n) for n, t in (f.strip().split(" ") for f in schema.split(","))]).schema
     names = [f.name for f in fields]
     from pyspark.sql.pandas.types import to_arrow_type
@@ -210,7 +290,7 @@ def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for at, rows_in in _pieces(batch.column(len(keep)), step):
+            for at, rows_in in _pieces(batch.column(len(keep)), step, size):
                 part = batch.slice(at, rows_in)
                 rows = work(part.column(len(keep)).to_pylist())
                 made = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -222,7 +302,7 @@ def map_texts(df: DataFrame, column: str, schema: str, make: Callable[[], Callab
     return kept.mapInArrow(run, out)
 
 
-def _pieces(texts: pa.Array, step: int, size: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def _pieces(texts: pa.Array, step: int, size: int) -> Iterator[tuple[int, int]]:
     """``(first row, rows)`` of at most ``step`` rows and about ``size`` bytes; a longer text is a piece of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at, n = 0, len(texts)
@@ -238,9 +318,9 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def make():
         c = codec(path)
-        return lambda texts: [(c.encode(t).tolist(),) for t in texts]
+        return lambda texts: [(ids.tolist(),) for ids in c.encode_many(texts)]
 
-    return map_texts(df.drop("ids"), text, "ids array<int>", make)
+    return map_texts(df.drop("ids"), text, "ids array<int>", make, size=BATCH)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -265,11 +345,10 @@ def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def make():
         c = codec(path)
 
-        def one(t):
-            ids = c.encode(t)
+        def one(ids):
             return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(c.decode(ids).encode()).hexdigest()
 
-        return lambda texts: [one(t) for t in texts]
+        return lambda texts: [one(ids) for ids in c.encode_many(texts)]
 
-    return map_texts(df, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", make)
+    return map_texts(df, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", make, size=BATCH)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.bpe import codec, map_texts
+from tamarack.llm.bpe import BATCH, codec, map_texts
 from tamarack.operators.slots import dense_slots
 from tamarack.storage import durable
 
@@ -80,9 +80,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
                     if now < k or gap - n < n or left[n] == now:
                         put(n, now, first, gap)
                         if now < k:
-                            open_at.setdefault(gap, []).append((first + now, k - now))
-                            if gap not in gaps:
+                            if gap not in open_at:
                                 bisect.insort(gaps, gap)
+                                open_at[gap] = []
+                            open_at[gap].append((first + now, k - now))
                         break
                     runs.append((n, used[n], now, first, capacity - gap))
                     used[n] += now
@@ -110,14 +111,14 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, text: str = "
     def make():
         c = codec(path)
 
-        def one(t):
-            ids = np.concatenate([c.encode(t), end])
+        def one(ids):
+            ids = np.concatenate([ids, end])
             cut = range(0, len(ids), capacity)
             return [len(ids[a : a + capacity]) for a in cut], [zlib.crc32(ids[a : a + capacity].tobytes()) for a in cut]
 
-        return lambda texts: [one(t) for t in texts]
+        return lambda texts: [one(ids) for ids in c.encode_many(texts)]
 
-    cut = map_texts(docs.select("doc_id", text), text, "lengths array<int>, crcs array<bigint>", make)
+    cut = map_texts(docs.select("doc_id", text), text, "lengths array<int>, crcs array<bigint>", make, size=BATCH)
     rows = cut.select("doc_id", F.posexplode(F.arrays_zip("lengths", "crcs")).alias("piece", "x"))
     return rows.select("doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start"), F.col("x.lengths").cast("long").alias("length"), F.col("x.crcs").alias("ids_crc32"))
 
