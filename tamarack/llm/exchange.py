@@ -4,7 +4,8 @@ Texts are dealt to *chunks* by a hash of the row; keys made from them (hashes of
 *buckets* by their top bits. What travels is one row per chunk and bucket: the chunk's distinct keys of that bucket,
 sorted, as differences packed bytewise and compressed. A chunk sends a key once however often it has it, so a key that
 a third of all rows share costs its bucket one entry per chunk. Answers go back the same way, and both sides work on
-one chunk or one bucket at a time. The number of chunks and buckets follows the total text size.
+one chunk or one bucket at a time. Chunks and buckets grow with the square root of the total text size, so that their
+number does too, up to what a Python worker can hold; only beyond does their number grow with the total.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Text bytes in a chunk, and in all chunks per bucket.
-CHUNK_BYTES, BUCKET_BYTES = 6_000_000, 12_000_000
+#: Text bytes in a chunk, and in all chunks per bucket, of a corpus of ``EVEN`` bytes or less, and how much larger they may get.
+CHUNK_BYTES, BUCKET_BYTES, EVEN, GROWTH = 6_000_000, 12_000_000, 1_000_000_000, 4
 
 _pack, _unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
@@ -29,23 +30,39 @@ class Layout:
 
     chunks: int
     bits: int
+    total: int = 0  # bytes of text, where they were counted
 
     @property
     def buckets(self) -> int:
         return 1 << self.bits
 
+    @property
+    def rows(self) -> int:
+        """No more rows than this travel one way."""
+        return self.chunks * self.buckets
+
+
+def sized(total: int, chunk_bytes: int | None = None, bucket_bytes: int | None = None) -> Layout:
+    """Layout for ``total`` bytes of text."""
+    by = min(float(GROWTH), max(1.0, (total / EVEN) ** 0.5))
+    chunk, bucket = chunk_bytes or int(CHUNK_BYTES * by), bucket_bytes or int(BUCKET_BYTES * by)
+    return Layout(max(1, -(-total // chunk)), max(0, (total // bucket).bit_length()), total)
+
+
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts: one pass that only adds up lengths."""
+    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
 
 def layout(docs: DataFrame, text: str = "text") -> Layout:
-    """Layout for the whole text of ``docs`` (one pass that only adds up lengths).
+    """Layout for the whole text of ``docs``.
 
     The defaults suit executors with half a gigabyte for a Python worker. Larger workers and corpora should set
     ``spark.tamarack.chunkBytes`` and ``spark.tamarack.bucketBytes`` higher: the exchange has at most one row per
     chunk and bucket, so rows stay well filled while chunk size x bucket size is well above the total.
     """
     conf = docs.sparkSession.conf
-    chunk_bytes, bucket_bytes = int(conf.get("spark.tamarack.chunkBytes", str(CHUNK_BYTES))), int(conf.get("spark.tamarack.bucketBytes", str(BUCKET_BYTES)))
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return Layout(max(1, -(-total // chunk_bytes)), max(0, (total // bucket_bytes).bit_length()))
+    return sized(text_bytes(docs, text), *(int(conf.get(f"spark.tamarack.{k}Bytes", "0")) or None for k in ("chunk", "bucket")))
 
 
 def pack(sorted_keys: np.ndarray) -> bytes:

@@ -100,7 +100,9 @@ def repeated_words(docs: DataFrame, window: int = 35, keep_text: bool = False, k
     lay = plan or X.layout(docs)
     width = 64 - lay.bits
     if rounds is None:  # about six bytes a word; expected false matches of one round are n**2 / 2**65
-        rounds = 1 if (lay.chunks * X.CHUNK_BYTES / 6) ** 2 / 2**65 < 1e-3 else 2
+        rounds = 1 if ((lay.total or X.text_bytes(docs)) / 6) ** 2 / 2**65 < 1e-3 else 2
+    if "chunk" in keep:
+        raise ValueError("a kept column may not be called chunk")
     texts = X.chunked(docs.select(*keep, F.col("text").cast("string").alias("text")), lay.chunks, *keep, "text")
 
     def hits_of(keys: np.ndarray, hits: np.ndarray) -> np.ndarray:
