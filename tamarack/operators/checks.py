@@ -80,6 +80,15 @@ def manifest_tests(index: str = "source_row_index") -> dict[str, Column]:
     }
 
 
+def manifest_report(rows: DataFrame, right_id: Column, index: str = "source_row_index") -> DataFrame:
+    """Checks of a frozen manifest: those of each row, the id that ``right_id`` computes anew, unique ids and contiguous indices."""
+    have = rows.select(F.col(index).alias("_i")).distinct()
+    last = have.agg(F.max("_i").alias("_last"))
+    gaps = have.join(have.select((F.col("_i") - 1).alias("_i")), "_i", "left_anti").join(last, F.col("_i") < F.col("_last"))  # one row on the right
+    each = row_checks(rows, manifest_tests(index) | {"manifest.row_id": ~F.col("row_id").eqNullSafe(right_id)})
+    return report(each, count_check("manifest.unique_ids", duplicates(rows, "row_id")), count_check("manifest.contiguous", gaps))
+
+
 def run_checks(checks: list[tuple[str, tuple[str, ...], object]], skip: tuple[str, ...] = ()) -> list[dict]:
     """Driver-side checks ``(name, prerequisites, function)`` in order: a check whose prerequisite did not pass is skipped,
     an exception fails it."""

@@ -91,14 +91,24 @@ def value_summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return base.join(ranks(df, by, value, {"median": ("middle",), "p10": ("fraction", 0.1)}), by, "left").select(*by, "count", "mean", "median", "p10", "max")
 
 
+#: Fixed value: the status of a compiled document.
+COMPILED = "success"
+
+
 def compile_summary(results: DataFrame) -> DataFrame:
-    done = F.count_if(F.col("status") == "ok")
+    """Attempts, successes and their rate to six places (null without attempts)."""
+    done = F.count_if(F.col("status") == COMPILED)
     return results.agg(F.count("*").alias("attempted"), done.alias("success"), ratio(done, F.count("*")).alias("success_rate"))
 
 
+def compile_failures(results: DataFrame) -> DataFrame:
+    """How many attempts failed in each category: ``category, n``."""
+    return results.where(F.col("status") != COMPILED).groupBy("category").agg(F.count("*").alias("n"))
+
+
 def first_errors(results: DataFrame, order: str, limit: int = 10) -> DataFrame:
     """The first error messages in record order."""
-    return results.where("status <> 'ok' and error_message is not null").orderBy(order).limit(limit)
+    return results.where((F.col("status") != COMPILED) & F.col("error_message").isNotNull()).orderBy(order).limit(limit)
 
 
 def throughput(records: DataFrame, run: str = "run_id") -> DataFrame:

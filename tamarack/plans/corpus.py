@@ -67,9 +67,9 @@ def freeze_counts(spark, d):
 
 @query(f"""WITH {_FROZEN_SQL}, s AS (SELECT * FROM f ORDER BY doc_id LIMIT 200), a AS (SELECT count(*)::BIGINT AS sample_rows, coalesce(sum(coalesce(octet_length(image), 0)), 0)::BIGINT AS b,
   coalesce(sum(length(text)), 0)::BIGINT AS c FROM s)
-SELECT sample_rows, b::DOUBLE / greatest(1, sample_rows) AS average_image_bytes, c::DOUBLE / greatest(1, sample_rows) AS average_text_chars,
+SELECT sample_rows, round_even(b::DOUBLE / greatest(1, sample_rows), 1) AS average_image_bytes, round_even(c::DOUBLE / greatest(1, sample_rows), 1) AS average_text_chars,
   floor(100000 * (b::DOUBLE / greatest(1, sample_rows) + c::DOUBLE / greatest(1, sample_rows) + 256))::BIGINT AS projected_bytes,
-  floor(floor(100000 * (b::DOUBLE / greatest(1, sample_rows) + c::DOUBLE / greatest(1, sample_rows) + 256)) * 1.5::DOUBLE)::BIGINT + 1073741824 AS required_bytes FROM a""")
+  floor(floor(100000 * (b::DOUBLE / greatest(1, sample_rows) + c::DOUBLE / greatest(1, sample_rows) + 256)) * 1.5::DOUBLE)::BIGINT + 5368709120 AS required_bytes FROM a""")
 def storage_estimate(spark, d):
     """Projected storage of 100,000 rows from the first 200, and the disk it asks for."""
     s = frozen(spark, d).orderBy("doc_id").limit(200)
@@ -77,7 +77,7 @@ def storage_estimate(spark, d):
     n = F.greatest(F.lit(1), F.col("sample_rows"))
     image, chars = F.col("b") / n, F.col("c") / n
     projected = F.floor(F.lit(100_000) * (image + chars + 256)).cast("bigint")
-    return a.select("sample_rows", image.alias("average_image_bytes"), chars.alias("average_text_chars"), projected.alias("projected_bytes"), (F.floor(projected * F.lit(1.5)).cast("bigint") + 1_073_741_824).alias("required_bytes"))
+    return a.select("sample_rows", F.bround(image, 1).alias("average_image_bytes"), F.bround(chars, 1).alias("average_text_chars"), projected.alias("projected_bytes"), (F.floor(projected * F.lit(LIMITS.safety_factor)).cast("bigint") + LIMITS.reserve_bytes).alias("required_bytes"))
 
 
 _ID_SQL = f"left(sha256(concat_ws(chr(31), '{VERSION}', '{DATASET}', '{REVISION}', '{SPLIT}', CAST(doc_id AS VARCHAR), sha256(text), sha256(''))), 32)"

@@ -210,7 +210,7 @@ def readiness_pairs(spark, d):
     return evaluate.comparable_pairs(compare_runs(spark, d))
 
 
-@query(f"WITH {_FLAT} SELECT count(*) FILTER (source_kind = 'base')::BIGINT AS base, count(*) FILTER (source_kind IN ('checkpoint', 'final'))::BIGINT AS trained, 2::BIGINT AS pairs, true AS ready FROM f")
+@query(f"WITH {_FLAT} SELECT *, base > 0 AND trained > 0 AND pairs > 0 AS ready FROM (SELECT count(*) FILTER (source_kind = 'base')::BIGINT AS base, count(*) FILTER (source_kind IN ('checkpoint', 'final'))::BIGINT AS trained, (SELECT count(*) FROM f b JOIN f t ON b.data_identity = t.data_identity AND b.split IS NOT DISTINCT FROM t.split WHERE b.source_kind = 'base' AND t.source_kind IN ('checkpoint', 'final'))::BIGINT AS pairs FROM f)")
 def readiness(spark, d):
     return evaluate.readiness(compare_runs(spark, d))
 
@@ -260,12 +260,12 @@ def wall_minutes(spark, d):
     return spark.createDataFrame([(w,) for w, _ in _WALLS], "wall string").select("wall", text.wall_minutes("wall").alias("minutes"))
 
 
-@query("""SELECT concat('s', s) AS shard, count(*)::BIGINT AS listed, 0::BIGINT AS unlisted FROM (SELECT doc_id % 4 AS s FROM documents) GROUP BY s""")
+@query("""SELECT concat('s', s) AS shard, count(l.doc_id)::BIGINT AS listed, (count(*) - count(l.doc_id))::BIGINT AS unlisted FROM (SELECT doc_id, doc_id % 4 AS s FROM documents) LEFT JOIN labels l USING (doc_id) GROUP BY s""")
 def files_against_list(spark, d):
     """Names on disk against names in a list, by full outer join of counts."""
-    have = table(spark, d, "documents", "doc_id").select(F.concat(F.lit("s"), F.col("doc_id") % 4).alias("shard"))
-    a, b = have.groupBy("shard").agg(F.count("*").alias("listed")), have.groupBy("shard").agg(F.count("*").alias("n"))
-    return a.join(b, "shard", "full_outer").select("shard", "listed", (F.coalesce("n", F.lit(0)) - F.coalesce("listed", F.lit(0))).alias("unlisted"))
+    by = lambda t, n: table(spark, d, t, "doc_id").groupBy(F.concat(F.lit("s"), F.col("doc_id") % 4).alias("shard")).agg(F.count("*").alias(n))
+    both = by("labels", "listed").join(by("documents", "n"), "shard", "full_outer")
+    return both.select("shard", F.coalesce("listed", F.lit(0)).alias("listed"), (F.coalesce("n", F.lit(0)) - F.coalesce("listed", F.lit(0))).alias("unlisted"))
 
 
 @query(f"""SELECT count(*)::BIGINT AS rows, sha256(concat('["', string_agg(CAST(doc_id AS VARCHAR), '", "' ORDER BY CAST(doc_id AS VARCHAR)), '"]')) AS ids_sha256
@@ -292,12 +292,13 @@ def union_of_keys(spark, d):
     return csv_union([a, b])
 
 
-@query("""SELECT 'identity' AS criterion, true AS passed UNION ALL SELECT 'rows', (SELECT count(*) > 0 FROM documents) UNION ALL SELECT 'labels', (SELECT count(*) > 0 FROM labels WHERE toxic = 1)""")
+@query("""SELECT 'identity' AS criterion, (SELECT count(*) = count(DISTINCT doc_id) FROM documents) AS passed UNION ALL SELECT 'labelled', (SELECT count(*) FROM documents) = (SELECT count(*) FROM labels) UNION ALL SELECT 'rows', (SELECT count(*) > 0 FROM documents) UNION ALL SELECT 'labels', (SELECT count(*) > 0 FROM labels WHERE toxic = 1)""")
 def gate_criteria(spark, d):
     """Named booleans; the gate passes if all hold."""
     docs, labels = table(spark, d, "documents", "doc_id"), table(spark, d, "labels", "toxic")
-    one = docs.agg((F.count("*") > 0).alias("rows")).crossJoin(labels.agg((F.count_if(F.col("toxic") == 1) > 0).alias("labels")))  # one row each
-    pairs = F.array(*[F.struct(F.lit(n).alias("criterion"), c.alias("passed")) for n, c in (("identity", F.lit(True)), ("rows", F.col("rows")), ("labels", F.col("labels")))])
+    of_docs = docs.agg((F.count("*") > 0).alias("rows"), (F.count("*") == F.count_distinct("doc_id")).alias("identity"), F.count("*").alias("n"))
+    one = of_docs.crossJoin(labels.agg((F.count_if(F.col("toxic") == 1) > 0).alias("labels"), F.count("*").alias("m")))  # one row each
+    pairs = F.array(*[F.struct(F.lit(n).alias("criterion"), c.alias("passed")) for n, c in (("identity", F.col("identity")), ("labelled", F.col("n") == F.col("m")), ("rows", F.col("rows")), ("labels", F.col("labels")))])
     return one.select(F.explode(pairs).alias("p")).select("p.*")
 
 

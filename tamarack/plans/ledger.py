@@ -9,6 +9,7 @@ from tamarack.functions import stats
 from tamarack.functions.time import micros, seconds
 from tamarack.operators import checks
 from tamarack.operators import ledger as L
+from tamarack.plans.corpus import _FROZEN_SQL, _ID_SQL, _row_id, frozen
 from tamarack.plans.registry import duck_rows, query
 from tamarack.sources.tables import table
 
@@ -106,6 +107,8 @@ def attempts_of(spark, d):
     return joined.groupBy("row_id").agg(F.transform(h, lambda x: x["reason"]).alias("reasons"))
 
 
+#: The range of all rows.
+_LAST = (1 << 63) - 1
 _ROWS_SQL = "q AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS source_row_index, state, epoch_us(ts)::DOUBLE / 1e6 + backoff_seconds AS not_before, attempt_no AS attempt_count, k::BIGINT AS transient_count, category, reason FROM r)"
 
 
@@ -117,15 +120,16 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
     return global_index(rows, [F.col("row_id")], F.col("row_id"), "source_row_index")
 
 
-@query(f"WITH {DAILY}, {_ROWS_SQL} SELECT row_id, source_row_index FROM q WHERE state IN ('pending', 'retryable') AND not_before <= 4e9 AND source_row_index BETWEEN 0 AND 1000 ORDER BY source_row_index LIMIT 50")
+@query(f"WITH {DAILY}, {_ROWS_SQL} SELECT row_id, source_row_index FROM q WHERE state IN ('pending', 'retryable') AND not_before <= 4e9 ORDER BY source_row_index LIMIT 50")
 def eligible_rows(spark, d):
     """The next 50 rows that may be claimed (the claim limit is the feature)."""
-    return L.eligible(_rows(spark, d), 4e9, 0, 1000, 50).select("row_id", "source_row_index")
+    return L.eligible(_rows(spark, d), 4e9, 0, _LAST, 50).select("row_id", "source_row_index")
 
 
-@query(f"WITH {DAILY}, {_ROWS_SQL} SELECT min(not_before) AS next_retry FROM q WHERE state = 'retryable' AND source_row_index BETWEEN 0 AND 1000")
+@query(f"WITH {DAILY}, {_ROWS_SQL} SELECT min(not_before) AS next_retry FROM q WHERE state = 'retryable'")
 def next_retry(spark, d):
-    return L.next_retry(_rows(spark, d), 0, 1000)
+    """The earliest retry over all rows."""
+    return L.next_retry(_rows(spark, d), 0, _LAST)
 
 
 @query(f"""WITH {DAILY}, {_ROWS_SQL} SELECT x.row_id, x.worker, coalesce(attempt_count, 0) + 1 AS attempt_no, 4e9::DOUBLE AS claimed_at,
@@ -277,18 +281,26 @@ def audit_roll_up(spark, d):
     return checks.roll_up(audit_report(spark, d))
 
 
-_FROZEN_CHECKS = "manifest.known_status manifest.text_sha manifest.image_present manifest.rejection_reason manifest.no_reason_when_valid manifest.index_not_negative".split()
-
-
-@query("SELECT unnest([" + ", ".join(f"'{c}'" for c in _FROZEN_CHECKS) + "]) AS \"check\", 0::BIGINT AS violations, 'pass' AS status")
+@query(f"""WITH {_FROZEN_SQL}, m AS (SELECT text, image, CASE WHEN doc_id % 37 = 0 THEN 'odd' WHEN rejection_reason IS NULL THEN 'valid' ELSE 'rejected' END AS status,
+  CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'late' ELSE rejection_reason END AS rejection_reason, CASE WHEN doc_id % 29 = 0 THEN 'drift' ELSE sha256(text) END AS text_sha256,
+  CASE WHEN doc_id % 41 = 0 THEN -1 - doc_id WHEN doc_id % 97 = 0 THEN doc_id - 1 ELSE doc_id END AS i, CASE WHEN doc_id % 43 = 0 THEN 'same' ELSE {_ID_SQL} END AS row_id, {_ID_SQL} AS right_id FROM f),
+v(name, v) AS (SELECT 'manifest.known_status', (SELECT count(*) FROM m WHERE status = 'odd') UNION ALL SELECT 'manifest.text_sha', (SELECT count(*) FROM m WHERE text_sha256 IS DISTINCT FROM sha256(text))
+  UNION ALL SELECT 'manifest.image_present', (SELECT count(*) FROM m WHERE status = 'valid' AND coalesce(octet_length(image), 0) = 0) UNION ALL SELECT 'manifest.rejection_reason', (SELECT count(*) FROM m WHERE status <> 'valid' AND rejection_reason IS NULL)
+  UNION ALL SELECT 'manifest.no_reason_when_valid', (SELECT count(*) FROM m WHERE status = 'valid' AND rejection_reason IS NOT NULL) UNION ALL SELECT 'manifest.index_not_negative', (SELECT count(*) FROM m WHERE i < 0)
+  UNION ALL SELECT 'manifest.row_id', (SELECT count(*) FROM m WHERE row_id <> right_id) UNION ALL SELECT 'manifest.unique_ids', (SELECT count(*) FROM (SELECT row_id FROM m GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'manifest.contiguous', (SELECT count(*) FROM (SELECT i, lead(i) OVER (ORDER BY i) AS after FROM (SELECT DISTINCT i FROM m)) WHERE after <> i + 1))
+SELECT name AS "check", v::BIGINT AS violations, CASE WHEN v = 0 THEN 'pass' ELSE 'fail' END AS status FROM v""")
 def manifest_checks(spark, d):
-    """The frozen manifest passes its own checks."""
+    """A frozen manifest, tampered with in every way that its checks are for."""
     from tamarack.functions.ids import sha
-    from tamarack.plans.corpus import frozen
 
-    rows = frozen(spark, d).withColumn("status", F.when(F.col("rejection_reason").isNull(), "valid").otherwise("rejected"))
-    rows = rows.withColumn("text_sha256", sha("text")).withColumn("source_row_index", F.col("doc_id"))
-    return checks.row_checks(rows, checks.manifest_tests())
+    k, reason = F.col("doc_id"), F.col("rejection_reason")
+    rows = frozen(spark, d).withColumn("status", F.when(k % 37 == 0, "odd").when(reason.isNull(), "valid").otherwise("rejected")).withColumn("right_id", _row_id())
+    rows = rows.withColumns({
+        "rejection_reason": F.when(k % 31 == 0, None).when(k % 13 == 0, "late").otherwise(reason), "text_sha256": F.when(k % 29 == 0, "drift").otherwise(sha("text")),
+        "source_row_index": F.when(k % 41 == 0, -1 - k).when(k % 97 == 0, k - 1).otherwise(k), "row_id": F.when(k % 43 == 0, "same").otherwise(F.col("right_id")),
+    })
+    return checks.manifest_report(rows, F.col("right_id"))
 
 
 @query("""SELECT doc_id, CASE WHEN quality IS NULL THEN 'missing' ELSE 'different' END AS problem FROM documents LEFT JOIN labels USING (doc_id) WHERE (quality IS NULL OR quality IS DISTINCT FROM (doc_id % 2)::INTEGER)""")

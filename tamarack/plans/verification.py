@@ -9,9 +9,10 @@ from tamarack.operators import evaluate, verify
 from tamarack.operators import ledger as L
 from tamarack.plans.corpus import _line, _row_id, _ID_SQL, _LINE_SQL
 from tamarack.plans.ledger import DAILY, HISTORY, _attempts, _daily
-from tamarack.plans.registry import query, words_sql
+from tamarack.plans.registry import query, strip_sql, words_sql
 from tamarack.sources import sinks
 from tamarack.sources.tables import table
+from tamarack.storage import durable
 
 
 @query(f"WITH {HISTORY} SELECT row_id, state, reason FROM r WHERE row_id = 3")
@@ -67,20 +68,29 @@ def accepted_problems(spark, d):
     return verify.accepted_problems(rows, m)
 
 
-@query(f"""WITH s AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard, {_LINE_SQL} AS line FROM documents)
-SELECT c AS "check", 0::BIGINT AS violations, 'pass' AS status FROM (SELECT unnest(['export.unique_ids', 'export.unique_indices', 'export.rising_indices', 'export.shards_listed', 'export.shard_rows', 'export.checksums_match']) AS c)
-WHERE (SELECT count(DISTINCT shard) FROM s) > 0""")
+@query(f"""WITH s AS (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard FROM documents),
+x AS (SELECT shard, CASE WHEN doc_id % 17 = 0 THEN 'same' ELSE CAST(doc_id AS VARCHAR) END AS id, CASE WHEN doc_id % 100 = 99 THEN doc_id + 1 ELSE doc_id END AS i, text,
+  CASE WHEN doc_id % 23 = 0 THEN ' ' ELSE 'draw' END AS instruction, CASE WHEN doc_id % 19 = 0 THEN 'drift' ELSE sha256(text) END AS h FROM s),
+f AS (SELECT shard, count(*) AS n FROM s GROUP BY 1), v(name, v) AS (
+  SELECT 'export.unique_ids', (SELECT count(*) FROM (SELECT id FROM x GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'export.unique_indices', (SELECT count(*) FROM (SELECT i FROM x GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'export.rising_indices', (SELECT count(*) FROM (SELECT shard, min(i) AS lo, lag(max(i)) OVER (ORDER BY shard) AS before FROM x GROUP BY 1) WHERE lo <= before)
+  UNION ALL SELECT 'export.shards_listed', (SELECT count(*) FROM f WHERE shard % 3 = 2) UNION ALL SELECT 'export.shard_rows', (SELECT count(*) FROM f WHERE shard % 3 = 1)
+  UNION ALL SELECT 'export.checksums_match', (SELECT count(*) FROM f WHERE shard % 3 <> 2 AND shard % 2 = 1)
+  UNION ALL SELECT 'row.id', 0 UNION ALL SELECT 'row.text', (SELECT count(*) FROM x WHERE {strip_sql("coalesce(text, '')")} = '') UNION ALL SELECT 'row.instruction', (SELECT count(*) FROM x WHERE trim(instruction) = '')
+  UNION ALL SELECT 'row.text_sha', (SELECT count(*) FROM x WHERE h IS DISTINCT FROM sha256(text)) UNION ALL SELECT 'row.image_sha', 0)
+SELECT name AS "check", v::BIGINT AS violations, CASE WHEN v = 0 THEN 'pass' ELSE 'fail' END AS status FROM v""")
 def export_verification(spark, d):
-    """An export of ordered shards verified against its own list."""
-    docs = table(spark, d, "documents", "doc_id", "lang", "text")
-    rows = sinks.with_shards(docs, "doc_id", 100)
-    shards = sinks.shard_digests(rows, "doc_id", _line())
-    named = rows.select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("source_row_index"), "shard")
-    checks = verify.export_report(named, shards, shards, quick=True)
-    from tamarack.operators.checks import count_check
-
-    again = shards.join(shards.select("shard", F.col("logical_sha256").alias("_sha")), "shard")
-    return checks.unionByName(count_check("export.checksums_match", again.where("logical_sha256 <> _sha")))
+    """An export of ordered shards, tampered with in every way that its checks are for, verified against its list."""
+    docs, k = table(spark, d, "documents", "doc_id", "lang", "text"), F.col("doc_id")
+    shards = durable(sinks.shard_digests(sinks.with_shards(docs, "doc_id", 100), "doc_id", _line()))
+    rows = sinks.with_shards(docs, "doc_id", 100).select(
+        "shard", F.when(k % 17 == 0, "same").otherwise(k.cast("string")).alias("id"), F.when(k % 100 == 99, k + 1).otherwise(k).alias("source_row_index"), F.col("text").alias("tikz_code"),
+        F.when(k % 23 == 0, " ").otherwise("draw").alias("instruction"), F.when(k % 19 == 0, "drift").otherwise(ids.sha("text")).alias("tikz_sha256"), F.lit("").alias("png_image"), ids.sha(F.lit("")).alias("image_sha256"),
+    )
+    s = F.col("shard")
+    listed = shards.where(s % 3 != 2).withColumn("rows", F.col("rows") + (s % 3 == 1).cast("int")).withColumn("logical_sha256", F.when(s % 2 == 1, "drift").otherwise(F.col("logical_sha256")))
+    return verify.export_report(rows, shards, listed)
 
 
 @query(f"SELECT doc_id, CASE WHEN len({words_sql('text')}) + 256 > 1024 THEN 'input_too_long' END AS problem FROM documents")
@@ -95,26 +105,43 @@ def source_messages(spark, d):
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", ids.sha(F.concat(F.lit("<source>\n"), "text", F.lit("\n</source>"))).alias("message_sha256"))
 
 
-@query("""WITH c AS (SELECT event_id, CASE event_type WHEN 'purchase' THEN 'ok' WHEN 'error' THEN 'failed' WHEN 'click' THEN 'timeout' ELSE 'unavailable' END AS status FROM events)
-SELECT count(*)::BIGINT AS attempted, count(*) FILTER (status = 'ok')::BIGINT AS success, round_even(count(*) FILTER (status = 'ok') / count(*)::DOUBLE, 6) AS success_rate FROM c""")
+#: Compile statuses of the evaluation, dealt to event types.
+_STATUS = {"purchase": "success", "error": "latex_error", "click": "timeout", "signup": "no_tikz", "view": "unsafe_primitive"}
+_COMPILED = "c AS (SELECT event_id, event_type, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _STATUS.items()) + " END AS status FROM events)"
+
+
+def _compiled(spark, d):
+    status = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in _STATUS.items()])
+    return table(spark, d, "events", "event_id", "event_type").select("event_id", "event_type", status.alias("status"), status.alias("category"), F.col("event_type").alias("error_message"))
+
+
+@query(f"""WITH {_COMPILED} SELECT count(*)::BIGINT AS attempted, count(*) FILTER (status = 'success')::BIGINT AS success,
+round_even(count(*) FILTER (status = 'success') / count(*)::DOUBLE, 6) AS success_rate FROM c""")
 def compile_summary(spark, d):
     """Attempts, successes and their rate."""
-    k = F.col("event_type")
-    rows = table(spark, d, "events", "event_type").select(F.when(k == "purchase", "ok").when(k == "error", "failed").when(k == "click", "timeout").otherwise("unavailable").alias("status"))
-    return evaluate.compile_summary(rows)
+    return evaluate.compile_summary(_compiled(spark, d))
+
+
+@query(f"WITH {_COMPILED} SELECT status AS category, count(*)::BIGINT AS n FROM c WHERE status <> 'success' GROUP BY status")
+def compile_failures(spark, d):
+    """Failures by category."""
+    return evaluate.compile_failures(_compiled(spark, d))
 
 
-@query("""SELECT event_id, event_type FROM events WHERE event_type <> 'purchase' ORDER BY event_id LIMIT 10""")
+@query(f"""WITH {_COMPILED} SELECT event_id, event_type FROM c WHERE status <> 'success' ORDER BY event_id LIMIT 10""")
 def first_errors(spark, d):
     """The first ten errors in record order (a top-k report)."""
-    rows = table(spark, d, "events", "event_id", "event_type").select("event_id", "event_type", F.when(F.col("event_type") == "purchase", "ok").otherwise("failed").alias("status"), F.col("event_type").alias("error_message"))
-    return evaluate.first_errors(rows, "event_id").select("event_id", "event_type")
+    return evaluate.first_errors(_compiled(spark, d), "event_id").select("event_id", "event_type")
 
 
-@query("SELECT 'smoke' AS gate, 'overfit' AS missing")
+@query("""WITH g AS (SELECT DISTINCT source AS gate, lang AS identity FROM documents), s AS (SELECT DISTINCT gate FROM g), n AS (SELECT a.gate, b.gate AS missing FROM s a JOIN s b ON a.gate > b.gate),
+p AS (SELECT DISTINCT source, lang FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 AND doc_id % 3 = 0)
+SELECT gate, missing FROM g JOIN n USING (gate) WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.source = missing AND p.lang = identity)""")
 def gate_prerequisites(spark, d):
-    """Prerequisite gates that were not passed under the asked identity."""
-    gates = spark.createDataFrame([("smoke", "i1"), ("overfit", "i1")], "gate string, identity string")
-    passed = spark.createDataFrame([("preflight", "i1"), ("overfit", "i2")], "gate string, identity string")
-    needs = spark.createDataFrame([("smoke", "preflight"), ("smoke", "overfit"), ("overfit", "preflight")], "gate string, prerequisite string")
+    """Sources need all sources before them, in each language: those without a third of a kind of toxic label are unmet."""
+    docs, labels = table(spark, d, "documents", "doc_id", "source", "lang"), table(spark, d, "labels", "doc_id", "toxic")
+    gates = docs.select(F.col("source").alias("gate"), F.col("lang").alias("identity")).distinct()
+    names = gates.select("gate").distinct()
+    needs = names.join(names.withColumnRenamed("gate", "prerequisite"), F.col("gate") > F.col("prerequisite"))  # a row per pair of sources
+    passed = docs.join(labels, "doc_id").where("toxic = 1 and doc_id % 3 = 0").select(F.col("source").alias("gate"), F.col("lang").alias("identity")).distinct()
     return verify.unmet(gates, passed, needs)
