@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions import stats
+from tamarack.functions.ids import sha
 from tamarack.functions.time import micros, seconds
 from tamarack.operators import checks
 from tamarack.operators import ledger as L
-from tamarack.plans.corpus import _FROZEN_SQL, _ID_SQL, _row_id, frozen
+from tamarack.operators.audit import FACTS, Run, audit
+from tamarack.plans.corpus import _FROZEN_SQL, _ID_SQL, _line, _policy_sql, _row_id, frozen
 from tamarack.plans.registry import duck_rows, query
 from tamarack.sources.tables import table
 
@@ -245,37 +247,58 @@ def orphan_rows(spark, d):
     return table(spark, d, "orders", "o_orderkey").join(table(spark, d, "lineitem", "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").agg(F.count("*").alias("orphans"))
 
 
-@query(f"""WITH {HISTORY}, checks_(name, v, level) AS (
-  SELECT 'manifest.unique_stable_ids', (SELECT count(*) FROM (SELECT doc_id FROM documents GROUP BY 1 HAVING count(*) > 1)), 'fail'
-  UNION ALL SELECT 'ledger.no_duplicate_ids', (SELECT count(*) FROM (SELECT row_id FROM r GROUP BY 1 HAVING count(*) > 1)), 'fail'
-  UNION ALL SELECT 'ledger.row_set_matches_manifest', (SELECT count(*) FROM (SELECT DISTINCT row_id FROM r EXCEPT SELECT doc_id FROM documents)) + (SELECT count(*) FROM (SELECT doc_id FROM documents EXCEPT SELECT row_id FROM r)), 'fail'
-  UNION ALL SELECT 'ledger.no_index_outside_slice', (SELECT count(*) FROM documents WHERE doc_id < 0 OR doc_id >= 1000000000), 'fail'
+_AUDIT_SQL = f"""m AS (SELECT doc_id AS row_id, doc_id AS i, CASE WHEN doc_id % 11 = 0 THEN 'rejected' ELSE 'valid' END AS status, sha256(text) AS h, text FROM documents),
+q AS (SELECT row_id, i, CASE WHEN row_id % 55 = 0 THEN 'complete' WHEN status = 'rejected' THEN 'rejected' WHEN row_id % 10 = 3 THEN 'pending' ELSE 'complete' END AS state,
+  CASE WHEN row_id % 23 = 0 THEN ' ' ELSE text END AS instruction, CASE WHEN row_id % 22 = 0 THEN NULL ELSE 'unusable' END AS reason, h FROM m),
+r AS (SELECT row_id, CASE WHEN row_id % 47 = 1 THEN i + 100000000 ELSE i END AS i, state, instruction, reason, h FROM q WHERE row_id % 53 <> 1),
+o AS (SELECT DISTINCT user_id AS row_id FROM events),
+x AS (SELECT row_id AS id, i, CASE WHEN row_id % 59 = 0 THEN 'drift' ELSE h END AS h FROM r WHERE state = 'complete' OR row_id % 77 = 0 UNION ALL SELECT row_id, i, h FROM r WHERE row_id % 61 = 2 AND state = 'complete'),
+p AS (SELECT doc_id, rule FROM ({_policy_sql('text')} documents))),
+f AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard FROM documents), g AS (SELECT shard, count(*) AS n FROM f GROUP BY 1),
+checks_(name, v, level) AS (
+  SELECT name, CASE WHEN name IN ('run.validation_rules_match', 'runtime.no_quarantined_results') THEN 1 ELSE 0 END, CASE WHEN name = 'runtime.no_quarantined_results' THEN 'warn' ELSE 'fail' END FROM (SELECT unnest([{', '.join(f"'{n}'" for n in FACTS)}]) AS name)
+  UNION ALL SELECT 'manifest.exact_row_count', (SELECT abs(count(*) - 990) FROM m), 'fail' UNION ALL SELECT 'manifest.unique_stable_ids', (SELECT count(*) FROM (SELECT row_id FROM m GROUP BY 1 HAVING count(*) > 1)), 'fail'
+  UNION ALL SELECT 'ledger.row_count_matches_manifest', (SELECT count(*) FROM m) - (SELECT count(*) FROM r), 'fail' UNION ALL SELECT 'ledger.no_duplicate_ids', (SELECT count(*) FROM (SELECT row_id FROM r GROUP BY 1 HAVING count(*) > 1)), 'fail'
+  UNION ALL SELECT 'ledger.row_set_matches_manifest', (SELECT count(*) FROM m WHERE row_id NOT IN (SELECT row_id FROM r)), 'fail'
+  UNION ALL SELECT 'ledger.manifest_rejections_preserved', (SELECT count(*) FROM m LEFT JOIN r USING (row_id) WHERE status = 'rejected' AND state IS DISTINCT FROM 'rejected'), 'fail'
+  UNION ALL SELECT 'ledger.index_pairs_match_manifest', (SELECT count(*) FROM m JOIN r USING (row_id) WHERE m.i <> r.i), 'fail' UNION ALL SELECT 'ledger.no_index_outside_slice', (SELECT count(*) FROM r WHERE i < 0 OR i > 989), 'fail'
+  UNION ALL SELECT 'ledger.complete_rows_have_instructions', (SELECT count(*) FROM r WHERE state = 'complete' AND (instruction IS NULL OR trim(instruction) = '')), 'fail'
   UNION ALL SELECT 'ledger.rejected_rows_have_reasons', (SELECT count(*) FROM r WHERE state = 'rejected' AND (reason IS NULL OR trim(reason) = '')), 'fail'
-  UNION ALL SELECT 'ledger.attempts_reference_known_rows', (SELECT count(*) FROM a WHERE row_id NOT IN (SELECT row_id FROM r)), 'fail'
-  UNION ALL SELECT 'ledger.instructions_attached_to_one_row', (SELECT count(*) FROM (SELECT text FROM documents GROUP BY 1 HAVING count(*) > 1)), 'warn'
-  UNION ALL SELECT 'export.only_complete_rows', (SELECT count(*) FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents)), 'fail')
-SELECT name AS "check", v::BIGINT AS violations, CASE WHEN v = 0 THEN 'pass' ELSE level END AS status FROM checks_""")
+  UNION ALL SELECT 'ledger.accepted_instructions_valid', (SELECT count(*) FROM r JOIN p ON p.doc_id = r.row_id WHERE state = 'complete' AND (rule <> 'ok' OR row_id % 23 = 0)), 'fail'
+  UNION ALL SELECT 'ledger.instructions_attached_to_one_row', (SELECT count(*) FROM (SELECT instruction FROM r WHERE state = 'complete' AND instruction IS NOT NULL GROUP BY 1 HAVING count(*) > 1)), 'warn'
+  UNION ALL SELECT 'ledger.attempts_reference_known_rows', (SELECT count(*) FROM o WHERE row_id NOT IN (SELECT row_id FROM r)), 'fail'
+  UNION ALL SELECT 'export.only_complete_rows', (SELECT count(*) FROM x JOIN r ON id = row_id WHERE state <> 'complete'), 'fail' UNION ALL SELECT 'export.rejected_rows_excluded', (SELECT count(*) FROM x JOIN r ON id = row_id WHERE state = 'rejected'), 'fail'
+  UNION ALL SELECT 'export.rows_map_to_manifest', (SELECT count(*) FROM x JOIN m ON id = row_id WHERE x.i <> m.i OR x.h <> m.h), 'fail'
+  UNION ALL SELECT 'export.row_count_matches_ledger', abs((SELECT count(*) FROM x) - (SELECT count(*) FROM r WHERE state = 'complete')), 'fail' UNION ALL SELECT 'export.unique_ids', (SELECT count(*) FROM (SELECT id FROM x GROUP BY 1 HAVING count(*) > 1)), 'fail'
+  UNION ALL SELECT 'export.checksums_match', (SELECT count(*) FROM g WHERE shard % 3 <> 0), 'fail' UNION ALL SELECT 'export.shard_count_matches_meta', (SELECT count(*) FROM g WHERE shard % 3 = 2), 'fail'
+  UNION ALL SELECT 'export.rejected_matches_ledger', (SELECT count(*) FROM r WHERE state = 'rejected' AND row_id % 33 = 0), 'fail' UNION ALL SELECT 'export.checked', CASE WHEN (SELECT count(*) FROM x) = 0 THEN 1 ELSE 0 END, 'warn'),
+audit AS (SELECT name AS "check", v::BIGINT AS violations, CASE WHEN v = 0 THEN 'pass' ELSE level END AS status FROM checks_)"""
+
+
+@query(f"WITH {_AUDIT_SQL} SELECT * FROM audit")
 def audit_report(spark, d):
-    """Named checks over documents, labels and the derived ledger."""
-    from tamarack.storage import durable
-
-    docs, labels = table(spark, d, "documents", "doc_id"), table(spark, d, "labels", "doc_id")
-    attempts = durable(_attempts(spark, d))
-    rows = L.latest(attempts)
-    as_docs = rows.select(F.col("row_id").alias("doc_id"))
-    return checks.report(
-        checks.count_check("manifest.unique_stable_ids", checks.duplicates(docs, "doc_id")),
-        checks.count_check("ledger.no_duplicate_ids", checks.duplicates(rows, "row_id")),
-        checks.count_check("ledger.row_set_matches_manifest", checks.set_difference(as_docs, docs, "doc_id")),
-        checks.row_checks(docs, {"ledger.no_index_outside_slice": (F.col("doc_id") < 0) | (F.col("doc_id") >= 1_000_000_000)}),
-        checks.row_checks(rows, {"ledger.rejected_rows_have_reasons": (F.col("state") == "rejected") & (F.col("reason").isNull() | (F.trim("reason") == ""))}),
-        checks.count_check("ledger.attempts_reference_known_rows", attempts.join(rows.select("row_id"), "row_id", "left_anti")),
-        checks.count_check("ledger.instructions_attached_to_one_row", checks.duplicates(table(spark, d, "documents", "text"), "text"), "warn"),
-        checks.count_check("export.only_complete_rows", labels.join(docs, "doc_id", "left_anti")),
-    )
-
-
-@query()
+    """All named checks over a run made of documents and events, tampered with in the ways that the checks are for."""
+    from tamarack.sources import sinks
+
+    docs, k = table(spark, d, "documents", "doc_id", "text", "lang"), F.col("row_id")
+    h = sha("text")
+    m = docs.select(F.col("doc_id").alias("row_id"), F.col("doc_id").alias("source_row_index"), F.when(F.col("doc_id") % 11 == 0, "rejected").otherwise("valid").alias("status"), sha(F.lit("")).alias("image_sha256"), h.alias("tikz_sha256"), "text")
+    state = F.when(k % 55 == 0, "complete").when(F.col("status") == "rejected", "rejected").when(k % 10 == 3, "pending").otherwise("complete")
+    full = m.where(k % 53 != 1).withColumns({"state": state, "source_row_index": F.when(k % 47 == 1, k + 100_000_000).otherwise(k), "instruction": F.when(k % 23 == 0, " ").otherwise(F.col("text")), "reason": F.when(k % 22 != 0, "unusable")})
+    rows = full.select("row_id", "source_row_index", "state", "instruction", "reason")
+    out = full.where((F.col("state") == "complete") | (k % 77 == 0)).withColumn("tikz_sha256", F.when(k % 59 == 0, "drift").otherwise(F.col("tikz_sha256")))
+    out = out.unionByName(full.where((k % 61 == 2) & (F.col("state") == "complete"))).select(k.alias("id"), "source_row_index", "image_sha256", "tikz_sha256")
+    shards = sinks.shard_digests(sinks.with_shards(docs, "doc_id", 100), "doc_id", _line())
+    s = F.col("shard")
+    listed = shards.where(s % 3 != 2).withColumn("logical_sha256", F.when(s % 3 == 1, "drift").otherwise(F.col("logical_sha256")))
+    right = {name: (1, 2 if name in ("run.validation_rules_match", "runtime.no_quarantined_results") else 1) for name in FACTS}
+    attempts = table(spark, d, "events", "user_id").select(F.col("user_id").alias("row_id")).distinct()
+    rejected = rows.where((F.col("state") == "rejected") & (k % 33 != 0)).select(k.alias("id"))
+    return audit(Run(m.drop("text"), rows, attempts, out, rejected, shards, listed, 0, 990, right))
+
+
+@query(f"""WITH {_AUDIT_SQL} SELECT count(*) FILTER (status = 'pass')::BIGINT AS pass, count(*) FILTER (status = 'fail')::BIGINT AS fail, count(*) FILTER (status = 'warn')::BIGINT AS warn,
+CASE WHEN count(*) FILTER (status = 'fail') > 0 THEN 'fail' ELSE 'pass' END AS overall FROM audit""")
 def audit_roll_up(spark, d):
     """The audit's counts and overall status."""
     return checks.roll_up(audit_report(spark, d))
@@ -292,8 +315,6 @@ v(name, v) AS (SELECT 'manifest.known_status', (SELECT count(*) FROM m WHERE sta
 SELECT name AS "check", v::BIGINT AS violations, CASE WHEN v = 0 THEN 'pass' ELSE 'fail' END AS status FROM v""")
 def manifest_checks(spark, d):
     """A frozen manifest, tampered with in every way that its checks are for."""
-    from tamarack.functions.ids import sha
-
     k, reason = F.col("doc_id"), F.col("rejection_reason")
     rows = frozen(spark, d).withColumn("status", F.when(k % 37 == 0, "odd").when(reason.isNull(), "valid").otherwise("rejected")).withColumn("right_id", _row_id())
     rows = rows.withColumns({
