@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dense_slots(df: DataFrame, group: str, order: list[str], name: str = "slot", spread: int = 64) -> DataFrame:
+def dense_slots(df: DataFrame, group: str, order: list[str], name: str = "slot", spread: int | None = None) -> DataFrame:
     """Number the rows of each ``group`` 0, 1, 2, ... under ``name``.
 
-    Every group is cut into ``spread`` sub-groups by a hash of its order columns. Rows are numbered inside
+    Every group is cut into ``spread`` sub-groups (64, or as many as leave a group that is the whole table half a million
+    rows each) by a hash of its order columns. Rows are numbered inside
     their sub-group and lifted by the sizes of the sub-groups before it, so a group with a third of all rows
     takes part in many tasks. ``df`` must give the same rows each time it is read (a durable table).
     """
+    spread = spread or max(64, df.count() // 500_000)
     cut = df.withColumn("_cut", F.pmod(F.xxhash64(*order), F.lit(spread)).cast("int"))
     sizes = cut.groupBy(group, "_cut").count()
     before = Window.partitionBy(group).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
