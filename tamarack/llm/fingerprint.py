@@ -16,13 +16,16 @@ Likeness is the share of equal cells among the cells that either text has, and 1
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tamarack.operators import ordering
 from tamarack.storage import durable
 
 POSITION = 22
 KEY = 63 - POSITION
+#: Text bytes in a range of neighbouring rows.
+RANGE_BYTES = 64_000_000
 
 
 def _runs(keys: Column) -> Column:
@@ -82,25 +85,31 @@ def likeness(a: str, b: str) -> Column:
     return F.when(x.isNull() | y.isNull(), F.lit(0.0)).when(total("any") == 0, 1.0).otherwise(total("same") / total("any"))
 
 
+def _apart(spark: SparkSession, n: int) -> list[int]:
+    """A number for each of ``n`` ranges, such that a repartitioning by them puts each range into a partition of its own."""
+    hashed = spark.range(40 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("at")).agg(F.min("id").alias("id"))
+    met = {r.at: r.id for r in hashed.collect()}  # n rows
+    return [met.get(i, 40 * n + i) for i in range(n)]  # one that none was found for may share a partition
+
+
 def with_next(docs: DataFrame, order: str, columns: list[str], parts: int, derive=lambda df: df) -> DataFrame:
     """``derive(docs)`` with ``next_<c>`` of the row that follows in ascending ``order`` (the last row's is the first row's).
 
-    Rows are dealt to ranges of ``order`` by approximate quantiles, so each range is one sorted partition and texts move
-    once. Only the first row of each range is looked up across ranges; these few are found by a map-side minimum before
-    anything is derived. Rows of equal ``order`` follow each other by a hash of their other columns.
+    Rows are dealt to ``parts`` ranges of ``order`` by approximate quantiles, so each range is one sorted partition and
+    texts move once. Only the first row of each range is looked up across ranges; these few are found by a map-side minimum
+    before anything is derived. Rows of equal ``order`` follow each other by a hash of their other columns.
     """
-    cuts = docs.select(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000).alias("q")).first().q or []
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    ranged = docs.withColumn("_range", F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col(order))), F.lit(0)))
+    ranged = ordering.ranged(docs, F.col(order), parts)
     ranged = ranged.withColumn("_tie", F.xxhash64(*[c for c in docs.columns if c != order]))
     first_rows = ranged.groupBy("_range").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col(order), F.col("_tie"))).alias("_row")).select("_range", "_row.*")
-    heads = durable(derive(first_rows).select("_range", F.struct(*columns).alias("_head")))  # one row per range
-    moved = derive(ranged).repartition(max(1, len(set(cuts)) + 1), "_range")
-    w = Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first(), "_tie")
+    heads = durable(derive(first_rows).select("_range", F.struct(*columns).alias("_head")), parts, 64)  # one row per range
+    place = F.get(F.array(*map(F.lit, _apart(docs.sparkSession, parts))), F.col("_range")).cast("bigint")
+    moved = derive(ranged.withColumn("_place", place)).repartition(parts, "_place")
+    w = Window.partitionBy("_place").orderBy(F.col(order).asc_nulls_first(), "_tie")
     placed = moved.withColumns({f"_next_{c}": F.lead(F.struct(c)).over(w) for c in columns})
     across = Window.orderBy("_range")
     first = F.first("_head").over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     follow = heads.select("_range", F.coalesce(F.lead("_head").over(across), first).alias("_head"))
     out = placed.join(follow, "_range")
-    kept = [c for c in moved.columns if c not in ("_range", "_tie")]
+    kept = [c for c in moved.columns if c not in ("_range", "_tie", "_place")]
     return out.select(*kept, *[F.coalesce(F.col(f"_next_{c}"), F.struct(F.col("_head")[c].alias(c)))[c].alias(f"next_{c}") for c in columns])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, fingerprint, jaccard, langid, licenses, packing, quality, sharding, substring, toxicity
+from tamarack.llm import bpe, exchange, fingerprint, jaccard, langid, licenses, packing, quality, sharding, substring, toxicity
 from tamarack.sources.tables import table
 
 
@@ -55,8 +55,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), exchange.text_bytes(docs) // fingerprint.RANGE_BYTES)
     rows = fingerprint.with_next(docs, "doc_id", ["text", "fp"], parts, lambda df: fingerprint.sketch(df, "text", "fp"))
     n = F.length("text")
     half = (n / 2).cast("int")
