@@ -89,6 +89,7 @@ def _keys(docs: DataFrame, with_text: bool, keep: tuple[str, ...] = ()) -> DataF
     named, kinds = [*kept.names, "key"], ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: set[bytes] = set()  # no more than the task's input
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -49,10 +49,10 @@ class Automaton:
     key: np.ndarray
     to: np.ndarray
     root: np.ndarray
-    shift: int
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(self.shift)).astype(np.int64)
+        top = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+        return (top * np.uint64(len(self.key)) >> np.uint64(32)).astype(np.int64)
 
     def put(self, keys: np.ndarray, to: np.ndarray) -> None:
         """Enter moves; each goes to the first free place from its own on."""
@@ -112,8 +112,8 @@ def automaton(codes: list[int], letters: int) -> Automaton:
         root[c] = to * letters * 2 + 1
     key = np.array([s * letters + c for s, out in enumerate(moves) for c in out], kind)
     to = np.array([t * letters * 2 + (s == 0) for s, out in enumerate(moves) for t in out.values()], kind)
-    bits = max(4, (4 * len(key)).bit_length())
-    table = Automaton(np.full(1 << bits, -1, kind), np.zeros(1 << bits, kind), root, 64 - bits)
+    size = 4 * len(key) + 1
+    table = Automaton(np.full(size, -1, kind), np.zeros(size, kind), root)
     table.put(key, to)
     return table
 

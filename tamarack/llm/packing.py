@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.bpe import BATCH, codec, map_texts
+from tamarack.llm.words import let_go
 from tamarack.operators.slots import dense_slots
 from tamarack.storage import durable
 
@@ -135,6 +136,7 @@ def best_fit(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1,
     shared = docs.sparkSession.sparkContext.broadcast(table)  # bounded by the capacity
 
     def place(batches):
+        let_go()
         look = shared.value
         for b in batches:
             n, rank = b.column("length").to_numpy(), b.column("_rank").to_numpy()

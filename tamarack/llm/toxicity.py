@@ -186,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> tuple
     halves = lexicons(train)
 
     def make():
+        let_go()
         return lambda texts: [(features(t, *halves[0]), features(t, *halves[1])) for t in texts]
 
     got = map_texts(train, "text", "f0 array<double>, f1 array<double>", make).collect()  # two dozen numbers for each drawn row; all rows of a drawn doc_id
